@@ -82,7 +82,8 @@ def _jaro_winkler(s1: str | None, s2: str | None, prefix_weight: float = 0.1) ->
     if m == 0:
         return 0.0
     m2 = [s2[j] for j in range(n2) if used[j]]
-    transpositions = sum(1 for x, y in zip(m1, m2) if x != y) / 2.0
+    # half the out-of-order matches, rounded down (the common library convention)
+    transpositions = sum(1 for x, y in zip(m1, m2) if x != y) // 2
     jaro = (m / n1 + m / n2 + (m - transpositions) / m) / 3.0
     if jaro <= 0.7:
         return jaro

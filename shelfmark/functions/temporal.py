@@ -24,7 +24,7 @@ def epoch_seconds_to_ts(c) -> Column:
     """F11. Epoch seconds (number or numeric text) -> timestamp_ntz, without a
     round trip through the session time zone."""
     secs = as_col(c).try_cast("long")
-    return F.timestampadd("SECOND", secs, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.timestamp_add("SECOND", secs, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def time_parts(c) -> list[Column]:
