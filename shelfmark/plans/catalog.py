@@ -14,11 +14,14 @@ the two are kept next to each other so they cannot drift apart.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.plans.star import StarOptions, build_star_from_books, link_external_books
-from shelfmark.session import materialize
+from shelfmark.plans.star import StarOptions, build_star_from_books, link_external_books, warehouse_tables
+from shelfmark.session import scratch_path
+from shelfmark.sources.sinks import STAR, write_star
 from shelfmark.sources.tables import table
 
 
@@ -131,13 +134,17 @@ def linked_books(spark: SparkSession, d: str) -> DataFrame:
 
 def star(spark: SparkSession, d: str, opts: StarOptions = StarOptions()) -> dict[str, DataFrame]:
     """The eight star tables over the driver tables, built once per session
-    and folder (dimension ids are materialised in the shared folder)."""
+    and folder and written as parquet to the shared folder (the fact
+    partitioned by checkout year and month); questions read the written
+    tables, so they get partition and column pruning instead of recomputing
+    the ETL."""
     key = (id(spark), d)
     if key not in _STAR_CACHE:
-        _STAR_CACHE[key] = build_star_from_books(linked_books(spark, d), checkouts(spark, d), weather(spark, d),
-                                                 None, opts)
+        built = build_star_from_books(linked_books(spark, d), checkouts(spark, d), weather(spark, d), None, opts)
+        root = scratch_path(spark, "star")
+        write_star(warehouse_tables(built), root)
+        out = {k: v for k, v in built.items() if k.startswith("_")}
+        for name in warehouse_tables(built):
+            out[name] = spark.read.parquet(os.path.join(root, name)).select(*STAR[name].names)
+        _STAR_CACHE[key] = out
     return _STAR_CACHE[key]
-
-
-def fact_materialized(spark: SparkSession, d: str) -> DataFrame:
-    return materialize(star(spark, d)["fact_spl_book_checkout"])
