@@ -110,11 +110,20 @@ def link_multi_key(inventory: DataFrame, external: DataFrame, id_col: str, keys_
                    order_by: Sequence[str] = (), delimiter: str = ", ") -> DataFrame:
     """J4. Explode the inventory's key list, match each value against any of
     the external key columns, keep one external match per inventory id and
-    left-join it back: every inventory row survives exactly once."""
-    exploded = explode_list(inventory, keys_col, "_key", delimiter, keep=[id_col]) \
-        .withColumnRenamed(id_col, "_id")
-    matched = join_any_key(exploded, external, "_key", external_keys, "inner").drop("_key")
+    left-join it back: every inventory row survives exactly once.
+
+    The kept match is the smallest by ``order_by`` (then the other columns).
+    The minimum over all matches of an id equals the minimum over its keys of
+    each key's own minimum, so the external side is first reduced to one row
+    per key value (a map-side-combined aggregate).  The join then emits at
+    most one row per inventory key, however many external rows share a key."""
     pick_order = list(order_by) or list(external_keys)
+    cols = list(dict.fromkeys([*pick_order, *columns]))
+    keys = F.array_distinct(F.array(*[F.col(k).cast("string") for k in external_keys]))
+    per_key = external.select(F.explode(F.filter(keys, lambda k: k.isNotNull())).alias("_key"), *cols)
+    per_key = dedupe_by_key(per_key, ["_key"], pick_order)
+    exploded = explode_list(inventory, keys_col, "_key", delimiter, keep=[id_col]).withColumnRenamed(id_col, "_id")
+    matched = exploded.join(per_key, "_key").drop("_key")
     return left_enrich(inventory, matched, id_col, "_id", columns, pick_order)
 
 

@@ -94,13 +94,14 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 def checkouts(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     return li.select(F.col("l_partkey").cast("string").alias("bib_num"),
-                     F.format_string("%010d%03d", F.col("l_orderkey"), F.col("l_linenumber")).alias("item_barcode"),
+                     F.concat(F.lpad(F.col("l_orderkey").cast("string"), 10, "0"),
+                              F.lpad(F.col("l_linenumber").cast("string"), 3, "0")).alias("item_barcode"),
                      F.col("l_shipdate").alias("checkout_datetime"))
 
 
 SQL_CHECKOUTS = r"""
 SELECT CAST(l_partkey AS VARCHAR) AS bib_num,
-       printf('%010d%03d', l_orderkey, l_linenumber) AS item_barcode,
+       lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || lpad(CAST(l_linenumber AS VARCHAR), 3, '0') AS item_barcode,
        l_shipdate AS checkout_datetime
 FROM lineitem"""
 

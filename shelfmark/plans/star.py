@@ -18,12 +18,14 @@ from shelfmark.functions.temporal import CHECKOUT_DATETIME_FORMAT, parse_timesta
 from shelfmark.functions.text import (clean_publication_year, clean_publisher, clean_title, format_person_name,
                                       normalize_text, split_list)
 from shelfmark.operators.keys import dense_ids
-from shelfmark.operators.relate import (dedupe_by_key, join_on_date_parts, link_multi_key, lookup_filter_join,
+from shelfmark.operators.relate import (bounded_broadcast, dedupe_by_key, join_on_date_parts, link_multi_key, lookup_filter_join,
                                         map_or_raw, two_hop_left_join)
 from shelfmark.session import materialize
 
 # The print-book filter of the data dictionary.
 PRINT_BOOK_FILTER = {"Code Type": "ItemType", "Format Group": "Print", "Format Subgroup": "Book"}
+# Largest book lookup / dimension broadcast into the fact build (beyond it: shuffle join).
+LOOKUP_BROADCAST_ROWS = 2_000_000
 # Linked-book columns taken from the external feed.
 EXTERNAL_COLUMNS = {"title": "gr_title", "authors": "gr_authors", "publication_date": "gr_publication_date",
                     "average_rating": "gr_average_rating", "ratings_count": "gr_ratings_count",
@@ -147,7 +149,11 @@ def build_fact(checkouts: DataFrame, weather: DataFrame, lookup: DataFrame, dim_
     publisher id through the bib lookup (J6) + md5 row id (F8)."""
     df = join_on_date_parts(checkouts.select("bib_num", "item_barcode", "checkout_datetime"), "checkout_datetime",
                             weather, columns=[F.col("temperature").cast("double").alias("temperature")])
-    df = two_hop_left_join(df, lookup, dim_publisher, "bib_num", "bib_num", "key", "key", {"id": "publisher_id"})
+    # book lookup and publisher dimension grow with the catalogue, not with
+    # checkouts; they are materialised, so their row count is a cheap check
+    df = two_hop_left_join(df, bounded_broadcast(lookup, LOOKUP_BROADCAST_ROWS),
+                           bounded_broadcast(dim_publisher, LOOKUP_BROADCAST_ROWS),
+                           "bib_num", "bib_num", "key", "key", {"id": "publisher_id"})
     df = df.withColumn("id", md5_row_key("bib_num", "item_barcode", "checkout_datetime"))
     return df.select("bib_num", "item_barcode", "checkout_datetime", "temperature", "publisher_id", "id")
 
