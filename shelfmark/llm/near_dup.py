@@ -9,12 +9,13 @@ has a hash of its own over the whole set.  Sets near the border carry both forms
 a partner of 1/0.85 times the size may lie beyond it.
 
 Compressed registers are banded (ROWS by BANDS: a pair at 0.85 is missed with
-probability 3e-7).  A band group is never expanded into all its pairs: in each
-round every group compares its members with one pivot, pairs of all groups
-are verified together, and members that are already connected drop out.
-Groups whose members end in one component are settled; when few unsettled pairs are
-left (never more than SLACK times the members) those are compared as they are, so
-no pair that shares a band goes unseen.  Pairs whose collision-corrected
+probability 3e-7).  A band group is never expanded into all its pairs: in each of
+PIVOT_ROUNDS rounds every group compares its members with one pivot, all pairs
+are verified together, and groups whose members are in one component are
+settled.  In what is left, groups of at most SMALL_GROUP members compare the
+pairs of different components, and larger groups hold the members outside
+their largest component against all members, in blocks; so no pair that shares
+a band goes unseen unless it is already connected.  Pairs whose collision-corrected
 estimate is five standard errors below the threshold are left out; the others
 are confirmed on the full sets.  Components: alternating star contraction.
 
@@ -42,8 +43,11 @@ REGISTERS = ROWS * BANDS
 WIDE = 512
 MANTISSA = 10
 EMPTY = 0xFFFF
-SLACK = 4
-MAX_ROUNDS = 12
+PIVOT_ROUNDS = 1
+SMALL_GROUP = 32
+BLOCK = 128
+BLOCK_SHINGLES = 1 << 16
+STRIP = 4096
 KEY = ["_id", "_th"]
 
 _HASHES = bw.seeds(REGISTERS, 4242)
@@ -184,6 +188,84 @@ def _unsettled(members: DataFrame) -> DataFrame:
     return written(members.join(open_groups, "_band", "left_semi"), "members")
 
 
+def _hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs of every group's pivot with its other members, members without
+    pivots).  The pivot is the member that meets most others over all its
+    groups: the text that copies were made from, where it is there."""
+    met = members.join(members.groupBy("_band").agg(F.count("*").alias("_g")), "_band")
+    score = met.groupBy("_node").agg(F.sum("_g").alias("_score"))
+    scored = members.join(score, "_node")
+    pivots = scored.groupBy("_band").agg(F.max(F.struct("_score", "_node", "_root")).alias("_p"))
+    marked = members.join(pivots, "_band").where(F.col("_node") != F.col("_p._node"))
+    pairs = marked.where(F.col("_root") != F.col("_p._root")).select(
+        F.least("_p._node", "_node").alias("a"), F.greatest("_p._node", "_node").alias("b"))
+    return pairs, marked.select("_band", "_node")
+
+
+def _small_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs of different components in groups of at most SMALL_GROUP members."""
+    small = members.join(sizes.where(F.col("g") <= SMALL_GROUP).select("_band"), "_band", "left_semi")
+    x, y = small.alias("x"), small.alias("y")
+    return x.join(y, (F.col("x._band") == F.col("y._band")) & (F.col("x._node") < F.col("y._node"))
+                  & (F.col("x._root") != F.col("y._root"))).select(F.col("x._node").alias("a"), F.col("y._node").alias("b"))
+
+
+def _block_links(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links inside larger groups: the members outside a group's largest
+    component are held against all its members, block by block.  A block holds
+    about BLOCK sets (or BLOCK_SHINGLES shingles); a pair of blocks gives at most one link
+    for each queried member and component."""
+    large = sizes.where(F.col("g") > SMALL_GROUP)
+    rows = (members.join(large.select("_band", "_main"), "_band").join(sets, "_node")
+            .withColumn("_n", F.size("_set").cast("long")))
+    blocks = rows.groupBy("_band").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("_of"))
+    placed = rows.join(blocks, "_band").withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_of")).cast("int"))
+    content = F.collect_list(F.struct("_node", "_root", "_set"))
+    whole = placed.groupBy("_band", "_block").agg(content.alias("_members"))
+    asked = (placed.where(F.col("_root") != F.col("_main")).groupBy("_band", "_of", F.col("_block").alias("_from"))
+             .agg(content.alias("_queries"))
+             .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))))
+    return (asked.join(whole, ["_band", "_block"]).select("_queries", "_members")
+            .mapInArrow(_compare_blocks, "a bigint, b bigint"))
+
+
+def _unpacked(cell: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(nodes, roots, all set entries, which member each entry is of)."""
+    rows = cell.values
+    sets = rows.field("_set")
+    size = np.diff(sets.offsets.to_numpy())
+    return (rows.field("_node").to_numpy(), rows.field("_root").to_numpy(), sets.flatten().to_numpy(),
+            np.repeat(np.arange(len(size)), size))
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found_a, found_b = [], []
+        for asked, all_of in zip(batch.column("_queries"), batch.column("_members")):
+            (qn, qr, qs, qi), (mn, mr, ms, mi) = _unpacked(asked), _unpacked(all_of)
+            common, place = np.unique(np.concatenate([qs, ms]), return_inverse=True)
+            both = np.zeros((len(qn), len(mn)), np.float32)
+            qp, mp = place[:len(qs)], place[len(qs):]
+            for lo in range(0, len(common), STRIP):  # strips keep the 0/1 tables small
+                q, m = np.zeros((len(qn), STRIP), np.float32), np.zeros((len(mn), STRIP), np.float32)
+                for table, p, i in ((q, qp, qi), (m, mp, mi)):
+                    here = (p >= lo) & (p < lo + STRIP)
+                    table[i[here], p[here] - lo] = 1
+                both += q @ m.T
+            nq, nm = np.bincount(qi, minlength=len(qn)), np.bincount(mi, minlength=len(mn))
+            union = nq[:, None] + nm[None, :] - both
+            ok = (both * 100 >= union * THRESHOLD) & (qr[:, None] != mr[None, :])
+            for k in np.flatnonzero(ok.any(axis=1)):
+                hit = np.flatnonzero(ok[k])
+                hit = hit[np.unique(mr[hit], return_index=True)[1]]
+                found_a.append(np.full(len(hit), qn[k]))
+                found_b.append(mn[hit])
+        none = np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *found_a])), pa.array(np.concatenate([none, *found_b]))],
+                                         names=["a", "b"])
+
+
 def links(sketches: DataFrame, sets_of) -> DataFrame | None:
     """Verified links between classes: enough of them to connect every two
     classes that any verified pair connects.  ``sets_of(nodes)`` gives full sets."""
@@ -191,31 +273,19 @@ def links(sketches: DataFrame, sets_of) -> DataFrame | None:
     if members.isEmpty():
         return None
     sets = sets_of(members.select("_node").distinct())
-    found, roots = None, None
-    for turn in range(MAX_ROUNDS + 1):
-        groups = members.groupBy("_band", "_root").agg(F.count("*").alias("n"))
-        size = groups.groupBy("_band").agg(F.sum("n").alias("g"), F.sum(F.col("n") * F.col("n")).alias("s"))
-        left = size.agg(F.sum((F.col("g") * F.col("g") - F.col("s")) / 2).alias("p"), F.sum("g").alias("m")).first()
-        if not left["m"]:
-            break
-        last = left["p"] <= SLACK * left["m"] or turn == MAX_ROUNDS
-        if last:
-            x, y = members.alias("x"), members.alias("y")
-            pairs = x.join(y, (F.col("x._band") == F.col("y._band")) & (F.col("x._node") < F.col("y._node"))
-                           & (F.col("x._root") != F.col("y._root"))).select(F.col("x._node").alias("a"), F.col("y._node").alias("b"))
-        else:
-            pivots = members.groupBy("_band").agg(F.min(F.struct("_node", "_root")).alias("_p"))
-            marked = members.join(pivots, "_band")
-            pairs = (marked.where((F.col("_node") != F.col("_p._node")) & (F.col("_root") != F.col("_p._root")))
-                     .select(F.col("_p._node").alias("a"), F.col("_node").alias("b")))
+    found = None
+    for _ in range(PIVOT_ROUNDS):
+        pairs, rest = _hub_pairs(members)
         more = written(_linked(pairs, sketches, sets), "links")
         found = more if found is None else found.unionByName(more)
-        if last:
-            break
-        roots = components(found)
-        rest = marked.where(F.col("_node") != F.col("_p._node")).select("_band", "_node")
-        members = _unsettled(_labelled(rest, roots))
-    return found
+        members = _unsettled(_labelled(rest, components(found)))
+        if members.isEmpty():
+            return found
+    per_root = members.groupBy("_band", "_root").agg(F.count("*").alias("n"))
+    sizes = written(per_root.groupBy("_band").agg(F.sum("n").alias("g"), F.max(F.struct("n", "_root"))["_root"].alias("_main")),
+                    "group-sizes")
+    return (found.unionByName(written(_linked(_small_pairs(members, sizes), sketches, sets), "links"))
+            .unionByName(written(_block_links(members, sizes, sets), "links")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
