@@ -2,8 +2,8 @@
 
 Each half round sends neighbours to the smallest node next to them: first from
 the larger neighbours (large star), then from the smaller (small star).
-It takes O(log n) rounds on any graph; the edges never leave Spark.  Every half round is
-written to the shared folder, so lineage stays short and a lost executor costs one step.
+The edges never leave Spark.  Every round is written to the shared
+folder, so lineage stays short and a lost executor costs one round.
 """
 
 from __future__ import annotations
@@ -33,9 +33,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) bigint links, any order, self links ignored -> (node, root) for
     every linked node other than its root; root is the smallest node."""
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", narrow=True)
     before = None
     while (stamp := _stamp(now)) != before:
         before = stamp
-        now = written(_small_star(written(_large_star(now), "large-star")), "small-star")
+        now = written(_small_star(_large_star(now)), "stars", narrow=True)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -40,10 +40,14 @@ def held_out(id_col: str, parts: int, part: int) -> Column:
     return F.crc32(text.cast("binary")) % F.lit(parts) == F.lit(part)
 
 
-def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None, narrow: bool = False) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: lineage ends at
-    files that every executor sees, and the work above is done once."""
+    files that every executor sees, and the work above is done once.
+    ``narrow`` is for tables that are far smaller than the documents: an eighth
+    of the shuffle's tasks write them, so that they are not many tiny files."""
     spark = df.sparkSession
+    if narrow:
+        df = df.coalesce(max(2, shuffle_partitions(spark) // 8))
     path = scratch_path(spark, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)

@@ -185,7 +185,7 @@ def _unsettled(members: DataFrame) -> DataFrame:
     """Members of the groups that still hold two components, written."""
     open_groups = (members.groupBy("_band").agg(F.min("_root").alias("lo"), F.max("_root").alias("hi"))
                    .where("lo <> hi").select("_band"))
-    return written(members.join(open_groups, "_band", "left_semi"), "members")
+    return written(members.join(open_groups, "_band", "left_semi"), "members", narrow=True)
 
 
 def _hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -267,8 +267,8 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def links(sketches: DataFrame, sets_of) -> DataFrame | None:
-    """Verified links between classes: enough of them to connect every two
-    classes that any verified pair connects.  ``sets_of(nodes)`` gives full sets."""
+    """Links between classes that connect every two classes that any
+    verified pair connects, and no others.  ``sets_of(nodes)`` gives full sets."""
     members = _unsettled(_labelled(sketches.select(F.explode("_bands").alias("_band"), "_node").distinct(), None))
     if members.isEmpty():
         return None
@@ -276,16 +276,17 @@ def links(sketches: DataFrame, sets_of) -> DataFrame | None:
     found = None
     for _ in range(PIVOT_ROUNDS):
         pairs, rest = _hub_pairs(members)
-        more = written(_linked(pairs, sketches, sets), "links")
-        found = more if found is None else found.unionByName(more)
-        members = _unsettled(_labelled(rest, components(found)))
+        more = written(_linked(pairs, sketches, sets), "links", narrow=True)
+        roots = components(more if found is None else found.unionByName(more))
+        found = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        members = _unsettled(_labelled(rest, roots))
         if members.isEmpty():
             return found
     per_root = members.groupBy("_band", "_root").agg(F.count("*").alias("n"))
     sizes = written(per_root.groupBy("_band").agg(F.sum("n").alias("g"), F.max(F.struct("n", "_root"))["_root"].alias("_main")),
-                    "group-sizes")
-    return (found.unionByName(written(_linked(_small_pairs(members, sizes), sketches, sets), "links"))
-            .unionByName(written(_block_links(members, sizes, sets), "links")))
+                    "group-sizes", narrow=True)
+    return (found.unionByName(_linked(_small_pairs(members, sizes), sketches, sets))
+            .unionByName(_block_links(members, sizes, sets)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
