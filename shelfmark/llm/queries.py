@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import queries_groups, queries_native
+from shelfmark.llm import queries_groups, queries_native, queries_rows
 
-QUERIES = {**queries_native.QUERIES, **queries_groups.QUERIES}
+QUERIES = {**queries_native.QUERIES, **queries_groups.QUERIES, **queries_rows.QUERIES}
 ORACLE = {**queries_native.ORACLE, **queries_groups.ORACLE}
