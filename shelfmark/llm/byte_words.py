@@ -39,6 +39,9 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
+#: Bytes of words where punctuation also separates: letters, digits, and all of other scripts.
+LETTERS = np.zeros(256, dtype=bool)
+LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -77,6 +80,13 @@ def pieces(texts: pa.Array) -> Iterator[Piece]:
         row = stop
 
 
+def folded_latin(data: np.ndarray) -> np.ndarray:
+    """The bytes with the accented capitals of Latin-1 (two bytes each) made small."""
+    capital = np.zeros(len(data), bool)
+    capital[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    return np.where(capital, data + np.uint8(32), data)
+
+
 @dataclass
 class Words:
     """Hashes of all words of a piece, in order; ``first`` (one more entry than
@@ -94,9 +104,10 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
 
-def words(piece: Piece) -> Words:
+def words(piece: Piece, inside: np.ndarray | None = None) -> Words:
+    """``inside`` marks the bytes of words; by default all but white space."""
     folded = _FOLD[piece.data]
-    solid = ~_WHITE[folded]
+    solid = ~_WHITE[folded] if inside is None else inside[folded]
     n = len(folded)
     head = np.empty(n, bool)
     tail = np.empty(n, bool)

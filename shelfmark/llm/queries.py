@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import queries_groups, queries_native, queries_rows
+from shelfmark.llm import queries_groups, queries_models, queries_native, queries_rows
 
-QUERIES = {**queries_native.QUERIES, **queries_groups.QUERIES, **queries_rows.QUERIES}
+QUERIES = {**queries_native.QUERIES, **queries_groups.QUERIES, **queries_rows.QUERIES,
+           **queries_models.QUERIES}
 ORACLE = {**queries_native.ORACLE, **queries_groups.ORACLE}
