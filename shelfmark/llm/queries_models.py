@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import lang_id, toxicity
+from shelfmark.llm import lang_id, lm_score, toxicity
 from shelfmark.llm.frames import documents, held_out
 
 
@@ -23,4 +23,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(rows, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_toxicity": op2_toxicity}
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = lm_score.scored(docs, ~held_out("doc_id", 5, 1))
+    return out.select("doc_id", held_out("doc_id", 5, 1).alias("held_out"), F.col("_n_tokens").alias("n_tokens"),
+                      F.col("_n_known").alias("n_known"), F.col("_train_tokens").alias("train_tokens"),
+                      F.col("_base").alias("base_score"), F.col("_score").alias("score"))
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op2_toxicity": op2_toxicity, "op8_lm_score": op8_lm_score}
