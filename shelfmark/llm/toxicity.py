@@ -7,9 +7,9 @@ p the class prior: where the second part falls below zero the step
 climbs back, which keeps the model from fitting unlabelled toxic text as clean.
 The prior is the toxic share of the labelled learning rows unless given.
 
-Both training sets are bounded samples (POSITIVES and UNLABELLED rows, by text hash), and
+Both training sets are bounded samples (POSITIVES and UNLABELLED ids, by hash), and
 so are the features (FEATURES words that stand out most in the positives).
-Every whole text is scored in Arrow batches; text is shuffled only to find the labelled rows.
+Every whole text is scored in Arrow batches, without a shuffle of texts.
 
 Defined cases: null and empty texts are scored from the bias alone; with no
 positive row every score is 0; repeated rows score alike; repeated labels of
@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.llm import byte_words as bw
+from shelfmark.llm.frames import written
 
 BUCKETS = 1 << 20
 POSITIVES, UNLABELLED = 3000, 9000
@@ -109,29 +110,26 @@ def _as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.ListArray.from_arrays(ends, pa.array(bucket.astype(np.int32)))], names=["positive", "buckets"])
 
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` rows, those of the smallest text hashes."""
-    return df.orderBy(F.xxhash64("_text"), "_text").limit(rows)
+def _texts_of(rows: DataFrame, ids: DataFrame, bound: int) -> DataFrame:
+    """The texts of at most ``bound`` of the ids, those of the smallest hashes.
+    Only ids are sorted, and that many ids are broadcast."""
+    few = ids.distinct().orderBy(F.xxhash64("_key"), "_key").limit(bound)
+    return rows.join(F.broadcast(few), "_key", "left_semi").dropDuplicates(["_key"])
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
           toxic_col: str = "toxic", prior: float | None = None) -> Model:
-    rows = docs.where(learn & F.col(text_col).isNotNull()).select(
+    rows = docs.where(learn & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("_key"), F.col(text_col).cast("string").alias("_text"))
     marks = (labels.where(F.col(id_col).isNotNull() & F.col(toxic_col).isNotNull())
              .groupBy(F.col(id_col).alias("_key")).agg(F.max(F.col(toxic_col).cast("int")).alias("_toxic")))
-    known = rows.select("_key").join(marks, "_key")
+    known = written(rows.select("_key").distinct().join(marks, "_key"), "toxic-labels", narrow=True)
     if prior is None:
         prior = known.agg(F.avg("_toxic")).first()[0]
     prior = min(max(prior or 0.0, 1e-3), 0.5)
-    toxic = rows.join(marks.where("_toxic = 1").select("_key"), "_key", "left_semi")
     # the unlabelled set is drawn from all learning rows, as the risk estimator assumes
-    n_hash = F.pmod(F.xxhash64("_text"), F.lit(1_000_003))
-    total = rows.count()
-    share = min(1.0, (1.3 * UNLABELLED + 100) / max(total, 1))
-    unlabelled = _bounded(rows.where(n_hash < share * 1_000_003), UNLABELLED)
-    sample = (_bounded(toxic, POSITIVES).select(F.lit(True).alias("positive"), "_text")
-              .unionByName(unlabelled.select(F.lit(False).alias("positive"), "_text")))
+    sample = (_texts_of(rows, known.where("_toxic = 1").select("_key"), POSITIVES).select(F.lit(True).alias("positive"), "_text")
+              .unionByName(_texts_of(rows, rows.select("_key"), UNLABELLED).select(F.lit(False).alias("positive"), "_text")))
     found = sample.mapInArrow(_as_sets, "positive boolean, buckets array<int>").toArrow().combine_chunks()
     if not found.num_rows:
         return fit(np.zeros(0, int), np.zeros(0, int), np.zeros(0, bool), prior)
