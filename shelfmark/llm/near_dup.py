@@ -222,9 +222,11 @@ def _block_links(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataF
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("_of"))
     placed = rows.join(blocks, "_band").withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_of")).cast("int"))
     content = F.collect_list(F.struct("_node", "_root", "_set"))
+    # dealt by block, not by group: a large group must not be gathered in one task
+    placed = placed.repartition("_band", "_block")
     whole = placed.groupBy("_band", "_block").agg(content.alias("_members"))
-    asked = (placed.where(F.col("_root") != F.col("_main")).groupBy("_band", "_of", F.col("_block").alias("_from"))
-             .agg(content.alias("_queries"))
+    asked = (placed.where(F.col("_root") != F.col("_main")).groupBy("_band", "_block").agg(content.alias("_queries"), F.first("_of").alias("_of"))
+             .drop("_block")
              .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))))
     return (asked.join(whole, ["_band", "_block"]).select("_queries", "_members")
             .mapInArrow(_compare_blocks, "a bigint, b bigint"))
