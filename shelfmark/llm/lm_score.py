@@ -176,29 +176,37 @@ def features(t: Tokens, classes: np.ndarray) -> np.ndarray:
     return np.stack([c1 * (CLASSES + 1) + c2, PAIR_ROWS + w1, PAIR_ROWS + WORD_ROWS + w2], axis=1)
 
 
-def class_log(model: Model, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Log probabilities (n, CLASSES), natural."""
-    z = model.bias + weights[rows[:, 0]]
+def _odds(model: Model, rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(scores, their exponentials, row sums of those), each row shifted by its largest score."""
+    z = weights[rows[:, 0]]
     z += weights[rows[:, 1]]
     z += weights[rows[:, 2]]
+    z += model.bias
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+    e = np.exp(z)
+    return z, e, e.sum(axis=1)
+
+
+def class_log(model: Model, rows: np.ndarray, weights: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Natural log probability of each token's class ``y``."""
+    z, _, total = _odds(model, rows, weights)
+    return z[np.arange(len(y)), y] - np.log(total)
 
 
 def _update(model: Model, weights: np.ndarray, size: np.ndarray, used: np.ndarray, rows: np.ndarray, y: np.ndarray) -> None:
     """One mini-batch: gradient of the log loss, scaled by each row's gradient size so far."""
-    grad = np.exp(class_log(model, rows, weights))
+    _, grad, total = _odds(model, rows, weights)
+    grad /= total[:, None]
     grad[np.arange(len(y)), y] -= 1
     for j in range(rows.shape[1]):
-        order = np.argsort(rows[:, j], kind="stable")
+        order = np.argsort(rows[:, j].astype(np.int16), kind="stable")  # FEATURE_ROWS is below 2^15
         mine = rows[order, j]
         head = np.flatnonzero(np.diff(mine, prepend=-1))
-        total = np.add.reduceat(grad[order], head, axis=0)
+        summed = np.add.reduceat(grad[order], head, axis=0)
         at = mine[head]
-        size[at] += (total * total).mean(axis=1)
+        size[at] += (summed * summed).mean(axis=1)
         used[at] += np.diff(np.append(head, len(mine)))
-        weights[at] -= RATE / np.sqrt(size[at] + 1)[:, None] * total
+        weights[at] -= RATE / np.sqrt(size[at] + 1)[:, None] * summed
 
 
 def _trainer(model: Model):
@@ -255,7 +263,7 @@ def _scored(model: Model, batch: pa.RecordBatch, piece: bw.Piece) -> pa.RecordBa
     logs = np.empty(len(y))
     for lo in range(0, len(y), MINI_BATCH):
         hi = min(lo + MINI_BATCH, len(y))
-        logs[lo:hi] = class_log(model, rows[lo:hi], model.weights)[np.arange(hi - lo), y[lo:hi]]
+        logs[lo:hi] = class_log(model, rows[lo:hi], model.weights, y[lo:hi])
     count, here = model.known(t.hashes)
     text = np.repeat(np.arange(len(t.first) - 1), np.diff(t.first))
     rest = np.flatnonzero(~here)
