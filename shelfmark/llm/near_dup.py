@@ -182,20 +182,22 @@ def _labelled(members: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _unsettled(members: DataFrame) -> DataFrame:
-    """Members of the groups that still hold two components, written."""
-    open_groups = (members.groupBy("_band").agg(F.min("_root").alias("lo"), F.max("_root").alias("hi"))
-                   .where("lo <> hi").select("_band"))
-    return written(members.join(open_groups, "_band", "left_semi"), "members", narrow=True)
+    """Members (_band, _node, _root, _g: the group's size) of the groups that
+    still hold two components, written.  Facts about groups are written before
+    they are joined to members: two shuffled sides without an aggregate between
+    can be split where a group is large."""
+    groups = written(members.groupBy("_band").agg(F.min("_root").alias("lo"), F.max("_root").alias("hi"), F.count("*").alias("_g"))
+                     .where("lo <> hi").select("_band", "_g"), "open-groups", narrow=True)
+    return written(members.select("_band", "_node", "_root").join(groups, "_band"), "members", narrow=True)
 
 
 def _hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pairs of every group's pivot with its other members, members without
     pivots).  The pivot is the member that meets most others over all its
     groups: the text that copies were made from, where it is there."""
-    met = members.join(members.groupBy("_band").agg(F.count("*").alias("_g")), "_band")
-    score = met.groupBy("_node").agg(F.sum("_g").alias("_score"))
-    scored = members.join(score, "_node")
-    pivots = scored.groupBy("_band").agg(F.max(F.struct("_score", "_node", "_root")).alias("_p"))
+    score = members.groupBy("_node").agg(F.sum("_g").alias("_score"))
+    pivots = written(members.join(score, "_node").groupBy("_band").agg(F.max(F.struct("_score", "_node", "_root")).alias("_p")),
+                     "pivots", narrow=True)
     marked = members.join(pivots, "_band").where(F.col("_node") != F.col("_p._node"))
     pairs = marked.where(F.col("_root") != F.col("_p._root")).select(
         F.least("_p._node", "_node").alias("a"), F.greatest("_p._node", "_node").alias("b"))
@@ -218,8 +220,8 @@ def _block_links(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataF
     large = sizes.where(F.col("g") > SMALL_GROUP)
     rows = (members.join(large.select("_band", "_main"), "_band").join(sets, "_node")
             .withColumn("_n", F.size("_set").cast("long")))
-    blocks = rows.groupBy("_band").agg(F.greatest(
-        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("_of"))
+    blocks = written(rows.groupBy("_band").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("_of")), "blocks", narrow=True)
     placed = rows.join(blocks, "_band").withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_of")).cast("int"))
     content = F.collect_list(F.struct("_node", "_root", "_set"))
     # dealt by block, not by group: a large group must not be gathered in one task
