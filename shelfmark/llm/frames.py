@@ -51,7 +51,7 @@ def written(df: DataFrame, name: str, partition_by: str | None = None, narrow: b
     path = scratch_path(spark, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -107,10 +107,11 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(_id, _th, _pos) of every line to drop, batch by batch in id order."""
     spark = docs.sparkSession
     rows = identified(docs, id_col, text_col)
-    cuts = sorted(set(rows.approxQuantile("_id", [k / batches for k in range(1, batches)], 0.01)))
+    shares = [k / batches for k in range(1, batches)]
+    cuts = sorted(set(rows.agg(F.percentile_approx("_id", shares)).first()[0] or [])) if shares else []
     batch = F.lit(0)
     for cut in cuts:
-        batch = batch + (F.col("_id") > F.lit(int(min(cut, 2.0**63 - 1024)))).cast("int")
+        batch = batch + (F.col("_id") > F.lit(cut)).cast("int")
     lines = written(line_keys(rows, min_chars).withColumn("_batch", batch), "line-keys", "_batch")
     runs = LineRuns(spark, fanout)
     try:

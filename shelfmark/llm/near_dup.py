@@ -294,7 +294,8 @@ def links(sketches: DataFrame, sets_of) -> DataFrame | None:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per distinct row: _id, _th, _n (set size), _component (smallest _id reachable)."""
+    """Per distinct row: _id, _th, _n (set size), _root (the group; null for
+    an empty set) and _component (the group's smallest _id)."""
     rows = identified(docs, id_col, text_col)
     sketched = written(rows.select("_id", "_th", "_text").mapInArrow(_sketches, SKETCH), "sketches")
     first = (sketched.where("_n > 0").groupBy("_node").agg(F.min(F.struct("_id", "_th")).alias("_rep")))
@@ -308,21 +309,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     found = links(sketches.select("_node", "_n", "_bands", "_narrow", "_wide"), sets_of)
     if found is None:
-        return _assigned(sketched, classes.select("_node", F.col("_id").alias("_component")))
+        return _assigned(sketched, classes.select("_node", F.col("_node").alias("_root"), F.col("_id").alias("_component")))
     roots = components(found)
     labelled = _labelled(classes.select("_node", "_id"), roots)
     smallest = labelled.groupBy("_root").agg(F.min("_id").alias("_component"))
-    return _assigned(sketched, labelled.join(smallest, "_root").select("_node", "_component"))
+    return _assigned(sketched, labelled.join(smallest, "_root").select("_node", "_root", "_component"))
 
 
 def _assigned(sketched: DataFrame, component: DataFrame) -> DataFrame:
     rows = sketched.select(*KEY, "_n", "_node").distinct()
-    empty = rows.where("_n = 0").select(*KEY, "_n", F.col("_id").alias("_component"))
-    return rows.where("_n > 0").join(component, "_node").select(*KEY, "_n", "_component").unionByName(empty)
+    empty = rows.where("_n = 0").select(*KEY, "_n", F.lit(None).cast("long").alias("_root"), F.col("_id").alias("_component"))
+    return rows.where("_n > 0").join(component, "_node").select(*KEY, "_n", "_root", "_component").unionByName(empty)
 
 
 def with_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` plus _id, _th, _n and _component."""
+    """``docs`` plus _id, _th, _n, _root and _component."""
     return with_identity(docs, id_col, text_col).join(near_duplicates(docs, id_col, text_col), KEY)
 
 
@@ -330,8 +331,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row of every group, the one of the smallest id; among rows of one id
     or without id, the one of the smallest text hash.  Texts without words are groups of their own."""
     groups = near_duplicates(docs, id_col, text_col)
-    node = F.when(F.col("_n") > 0, F.col("_component"))
-    best = (groups.where("_n > 0").groupBy("_component").agg(F.min(F.struct("_id", "_th")).alias("_b"))
-            .select("_b._id", "_b._th").unionByName(groups.where(node.isNull()).select(*KEY)))
+    best = (groups.where("_n > 0").groupBy("_root").agg(F.min(F.struct("_id", "_th")).alias("_b"))
+            .select("_b._id", "_b._th").unionByName(groups.where("_n = 0").select(*KEY)))
     return (with_identity(docs, id_col, text_col).join(best, KEY, "left_semi").dropDuplicates(KEY)
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
