@@ -122,12 +122,24 @@ def split_list(c, delimiter: str = ", ") -> Column:
     return F.split(as_col(c), re.escape(delimiter))
 
 
-def first_list_item_links(html, exclude_prefix: str | None = "List of ") -> Column:
+def first_list_item_links(html, exclude_prefix: str | None = "List of ", tag: str | None = None,
+                          css_class: str | None = None) -> Column:
     """Text of the first link of every list item, as an array.
 
-    ``<li ...><a ...>TEXT</a>`` in document order; the five XML entities are
-    decoded as an HTML parser would."""
-    found = F.regexp_extract_all(as_col(html), F.lit(r"<li[^>]*>\s*<a[^>]*>([^<]*)</a>"), 1)
+    Items are cut out whole first (``<li ...>`` to ``</li>``, never ``<link>``),
+    so text before the link does not matter and an item without a link gives
+    nothing.  With ``tag`` (and ``css_class``) only items inside such an
+    element count.  Tags inside the link are dropped and the five XML
+    entities decoded as an HTML parser would."""
+    import re
+
+    scope = as_col(html)
+    if tag:
+        named = rf'[^>]*class="[^"]*\b{re.escape(css_class)}\b[^"]*"' if css_class else ""
+        scope = F.array_join(F.regexp_extract_all(scope, F.lit(rf"(?s)<{tag}\b{named}[^>]*>(.*?)</{tag}>"), 1), " ")
+    items = F.regexp_extract_all(scope, F.lit(r"(?s)<li\b[^>]*>(.*?)</li>"), 1)
+    linked = F.filter(items, lambda x: F.regexp_like(x, F.lit(r"(?s)<a\b[^>]*>.*?</a>")))
+    found = F.transform(linked, lambda x: F.regexp_replace(F.regexp_extract(x, r"(?s)<a\b[^>]*>(.*?)</a>", 1), "<[^>]*>", ""))
     decoded = F.transform(found, lambda t: decode_entities(t))
     if exclude_prefix is None:
         return decoded

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.operators.relate import dedupe_by_key
 from shelfmark.session import materialize
 
 
@@ -48,13 +49,13 @@ def unique_ids(df: DataFrame, id_col: str = "unique_id") -> DataFrame:
 
 def append_new_keys(existing: DataFrame, candidates: DataFrame, key_col: str, id_col: str = "id",
                     order_by: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """B13. Incremental dimension load: keys already stored keep their ids;
+    """B13. Incremental dimension load: keys already stored (a NULL key is a key) keep their ids;
     new keys (anti join) get dense ids after the current ``max(id)``.
 
     Returns (new rows with ids, full dimension = existing + new)."""
-    new = candidates.select(key_col, *[c for c in candidates.columns if c != key_col]) \
-        .dropDuplicates([key_col]) \
-        .join(existing.select(key_col), key_col, "left_anti")
+    one = dedupe_by_key(candidates.select(key_col, *[c for c in candidates.columns if c != key_col]), [key_col])
+    known = existing.select(F.col(key_col).alias("_known"))
+    new = one.join(known, F.col(key_col).eqNullSafe(F.col("_known")), "left_anti")
     start_row = existing.agg(F.max(id_col).alias("m")).first()
     start = 0 if start_row is None or start_row["m"] is None else int(start_row["m"]) + 1
     added = dense_ids(new, order_by or [key_col], id_col, start=start)

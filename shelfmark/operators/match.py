@@ -6,7 +6,7 @@ search is a token join:
 
 1. both sides are preprocessed, tokenised and lightly stemmed;
 2. the official list (a gazetteer: bounded, small) is exploded to
-   (token, name) with an IDF weight and broadcast behind a row-count check;
+   (token, name) with an IDF weight;
 3. dirty tokens join it on token, scores are summed per (dirty, candidate)
    with map-side partial aggregation, and the top ``k`` candidates per dirty
    name are kept (WindowGroupLimit: at most k rows per name leave a task);
@@ -24,12 +24,10 @@ from pyspark.sql import functions as F
 from shelfmark.functions.similarity import best_ratio, preprocess, tokens
 from shelfmark.functions.util import as_col
 from shelfmark.operators.rank import top_k_per_group
-from shelfmark.operators.relate import bounded_broadcast
 
 # Fixed values of the original matcher.
 CANDIDATES = 10      # hits fetched per name
 MATCH_CUTOFF = 89    # minimum score (inclusive) on a 0..100 scale
-GAZETTEER_BROADCAST_ROWS = 5_000_000
 
 
 def stem(t) -> Column:
@@ -61,7 +59,7 @@ def match_candidates(names: DataFrame, gazetteer: DataFrame, name_col: str, gaze
                      k: int = CANDIDATES) -> DataFrame:
     """M1. Top ``k`` official names per dirty name by summed IDF of shared
     stemmed tokens (ties by official name): (name, official, relevance, rank)."""
-    index = bounded_broadcast(gazetteer_index(gazetteer, gazetteer_col), GAZETTEER_BROADCAST_ROWS)
+    index = gazetteer_index(gazetteer, gazetteer_col)
     dirty = name_tokens(names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct(),
                         "name")
     scored = (dirty.join(index, "token")
@@ -72,8 +70,8 @@ def match_candidates(names: DataFrame, gazetteer: DataFrame, name_col: str, gaze
 
 def best_match(candidates: DataFrame, cutoff: int = MATCH_CUTOFF) -> DataFrame:
     """M2. Best candidate per name by fuzzy score, kept if score >= cutoff
-    (ties: higher relevance, then official name).  A hash aggregate of
-    ``max(struct(score, relevance, -rank))`` - combines map-side."""
+    (ties: higher relevance, then official name).  An aggregate of
+    ``max(struct(score, relevance, -rank))``: combines map-side."""
     scored = candidates.withColumn("score", best_ratio("name", "official"))
     best = scored.groupBy("name").agg(
         F.max(F.struct(F.col("score"), F.col("relevance"), (-F.col("rank")).alias("neg_rank"),

@@ -71,7 +71,11 @@ def length_extremes(df: DataFrame, col: str, id_col: str, n: int = 10) -> DataFr
     both = base.withColumn("kind", F.explode(F.array(F.lit("shortest"), F.lit("longest"))))
     both = both.withColumn("_o", F.when(F.col("kind") == "shortest", F.col("len")).otherwise(-F.col("len")))
     top = top_k_per_group(both, ["kind"], [F.col("_o").asc(), F.col(id_col).asc()], n, rank_col="_r")
-    return top.select(id_col, "len", "kind")
+    # at most 2n rows go back for their values
+    top = F.broadcast(top.select(F.col(id_col).alias("_id"), F.col("len").alias("_len"), "kind"))
+    values = df.select(F.col(id_col), F.length(col).alias("len"), F.col(col).alias("value"))
+    return (values.join(top, (F.col(id_col) == F.col("_id")) & F.col("len").eqNullSafe(F.col("_len")))
+            .select(id_col, "len", "kind", "value"))
 
 
 def histogram(df: DataFrame, col: str, bins: int, where=None, lower: float | None = None,
@@ -119,9 +123,9 @@ def group_stats(df: DataFrame, keys: Sequence, value: str, prefix: str = "", dig
     return out.orderBy(F.col(f"{prefix}n").desc(), *out.columns[: len(keys)])
 
 
-def key_frequency(df: DataFrame, keys: Sequence[str], min_count: int = 2) -> DataFrame:
-    """A9. Keys that repeat (count >= ``min_count``), most frequent first."""
-    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
+def key_frequency(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A9. Rows of every key, most frequent first."""
+    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return out.orderBy(F.col("n").desc(), *keys)
 
 

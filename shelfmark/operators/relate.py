@@ -1,43 +1,27 @@
 """Record linkage and enrichment joins (J1-J10) and deterministic dedupe (A10).
 
 Scale notes
-- Broadcast is used only behind a row-count check (``bounded_broadcast``) or
-  for sides whose size is fixed by construction; everything else is left to
-  the planner, where AQE converts a shuffle join to a broadcast only after it
-  has measured the materialised side.
+- Broadcast is hinted only for sides whose size is fixed by construction (one
+  row per calendar day); everything else is left to the planner, where AQE
+  converts a shuffle join to a broadcast only after it has measured the bytes
+  of the materialised side.
 - The disjunctive-key join is rewritten into an equi-join (an OR condition
   plans as a Cartesian product).
-- Dedupe is a hash aggregate of ``min(struct(order..., rest...))``: it combines
-  map-side, so a key holding a third of all rows is reduced before the shuffle
+- Dedupe is an aggregate of ``min(struct(order..., rest...))``.  Struct buffers
+  cannot be hash-aggregated, so each task sorts its input; but it combines
+  map-side, so a key holding a third of all rows sends one row per task
   instead of being sorted in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.util import as_col
-
-# Lookup tables up to this many rows may be broadcast after the check.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only if the frame has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows.  Above the bound the frame
-    is returned as is and joins against it shuffle (or AQE decides at run
-    time)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_filter_join(df: DataFrame, lookup: DataFrame, left_key: str, lookup_key: str,
-                       equals: Mapping[str, object], keep: Sequence[str] = (),
-                       max_lookup_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                       equals: Mapping[str, object], keep: Sequence[str] = ()) -> DataFrame:
     """J1/P3. Keep rows of ``df`` whose ``left_key`` is a code of ``lookup``
     passing every ``column == value`` filter.
 
@@ -50,7 +34,6 @@ def lookup_filter_join(df: DataFrame, lookup: DataFrame, left_key: str, lookup_k
     small = lookup.filter(cond).select(F.col(lookup_key).alias("_lk"), *[F.col(k) for k in keep])
     if not keep:
         small = small.distinct()
-    small = bounded_broadcast(small, max_lookup_rows)
     how = "inner" if keep else "left_semi"
     out = df.join(small, F.col(left_key) == F.col("_lk"), how)
     return out.drop("_lk") if keep else out
@@ -132,24 +115,24 @@ def join_on_date_parts(df: DataFrame, ts_col: str, daily: DataFrame, year: str =
                        how: str = "left") -> DataFrame:
     """J5. Match the calendar day of ``ts_col`` against three integer columns.
 
-    A three-key equi-join; a per-day table is small, so after its aggregate
-    AQE broadcasts it without a hint.  Duplicate days on the right fan out,
+    A three-key equi-join.  The daily table holds one row per calendar day, a
+    bound that does not grow with the data, so it is hinted for broadcast.  Duplicate days on the right fan out,
     as in the original job (checked by ``quality.unique_key_violations``)."""
     r = daily.select(F.col(year).alias("_y"), F.col(month).alias("_m"), F.col(day).alias("_d"), *columns)
     ts = F.col(ts_col)
     cond = (F.year(ts) == F.col("_y")) & (F.month(ts) == F.col("_m")) & (F.dayofmonth(ts) == F.col("_d"))
-    return df.join(r, cond, how).drop("_y", "_m", "_d")
+    return df.join(F.broadcast(r), cond, how).drop("_y", "_m", "_d")
 
 
 def two_hop_left_join(df: DataFrame, lookup: DataFrame, dim: DataFrame, df_key: str, lookup_key: str,
                       lookup_dim_key: str, dim_key: str, dim_columns: Mapping[str, str]) -> DataFrame:
     """J6. ``df`` -> lookup(key -> dim key) -> dim(dim key -> columns), both
-    left joins, so every ``df`` row is kept."""
+    left joins, so every ``df`` row is kept.  The two small tables are joined
+    first, so ``df`` (the large one) is joined once."""
     lk = lookup.select(F.col(lookup_key).alias("_lk"), F.col(lookup_dim_key).alias("_ldk"))
     d = dim.select(F.col(dim_key).alias("_dk"), *[F.col(s).alias(t) for s, t in dim_columns.items()])
-    out = (df.join(lk, F.col(df_key) == F.col("_lk"), "left")
-             .join(d, F.col("_ldk") == F.col("_dk"), "left"))
-    return out.drop("_lk", "_ldk", "_dk")
+    resolved = lk.join(d, F.col("_ldk") == F.col("_dk"), "left").drop("_ldk", "_dk")
+    return df.join(resolved, F.col(df_key) == F.col("_lk"), "left").drop("_lk")
 
 
 def map_or_raw(df: DataFrame, raw_col: str, mapping: DataFrame, map_raw: str, map_official: str,
@@ -164,14 +147,3 @@ def never_referenced(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: st
     """J9. Dimension rows no fact row points at (left anti join)."""
     f = fact.select(F.col(fact_key).alias("_fk")).filter(F.col("_fk").isNotNull())
     return dim.join(f, F.col(dim_key) == F.col("_fk"), "left_anti")
-
-
-def resolve_bridge(values: DataFrame, dim: DataFrame, value_key: str, dim_key: str, id_col: str,
-                   keep: Iterable[str], out_id: str) -> DataFrame:
-    """J7. Replace each normalised value by its dimension id (inner join)."""
-    d = dim.select(F.col(dim_key).alias("_dk"), F.col(id_col).alias(out_id))
-    return values.join(d, F.col(value_key) == F.col("_dk"), "inner").select(*keep, out_id)
-
-
-def col_or_name(c) -> Column:
-    return as_col(c)

@@ -117,11 +117,12 @@ def new_vs_old(fact: DataFrame, dim_book: DataFrame) -> DataFrame:
              .withColumn("avg_per_book", F.round(F.col("n_checkouts") / F.col("n_books"), 6)))
 
 
-def books_per_publisher(fact: DataFrame, dim_publisher: DataFrame) -> DataFrame:
-    """N10. Distinct checked-out books per publisher."""
-    tot = fact.groupBy("publisher_id").agg(F.count_distinct("bib_num").alias("n_books"))
-    names = dim_publisher.select(F.col("id").alias("publisher_id"), F.col("name").alias("publisher"))
-    return tot.join(names, "publisher_id", "left").select("publisher_id", "publisher", "n_books")
+def books_per_publisher(lookup: DataFrame, dim_publisher: DataFrame) -> DataFrame:
+    """N10. Inventory books per publisher, checked out or not: the book lookup
+    (bib_num, key) against the keyed dimension, never the fact."""
+    names = dim_publisher.select(F.col("key").alias("_k"), F.col("id").alias("publisher_id"), F.col("name").alias("publisher"))
+    per = lookup.groupBy("key").agg(F.count_distinct("bib_num").alias("n_books"))
+    return per.join(names, F.col("key") == F.col("_k"), "left").select("publisher_id", "publisher", "n_books")
 
 
 def books_per_publication_year(dim_book: DataFrame) -> DataFrame:

@@ -51,9 +51,9 @@ def format_author(s: str) -> str:
 
 
 # The star over the driver tables as one CTE chain (names match the Spark tables).
-STAR_CTE = f"""
-inv AS ({SQL_INVENTORY}),
-ext AS ({SQL_EXTERNAL}),
+_STAR = f"""
+inv AS (@inventory),
+ext AS (@external),
 inv_keys AS (SELECT bib_num, unnest(string_split(isbns, ', ')) AS k FROM inv),
 ext_keys AS (SELECT * FROM (SELECT e.*, unnest(list_distinct([e.isbn, e.isbn13])) AS k FROM ext e)
              WHERE k IS NOT NULL),
@@ -64,8 +64,8 @@ books AS (SELECT i.*, m.title AS gr_title, m.authors AS gr_authors, m.publicatio
                  m.average_rating AS gr_average_rating, m.ratings_count AS gr_ratings_count,
                  m.text_reviews_count AS gr_text_reviews_count
           FROM inv i LEFT JOIN (SELECT * FROM matched WHERE rn = 1) m ON i.bib_num = m.bib_num),
-co AS ({SQL_CHECKOUTS}),
-weather AS ({SQL_WEATHER}),
+co AS (@checkouts),
+weather AS (@weather),
 subj AS (SELECT DISTINCT unnest(string_split(raw_subjects, ', ')) AS name FROM books),
 dim_subject AS (SELECT row_number() OVER (ORDER BY name) - 1 AS id, name FROM subj),
 br_book_subject AS (SELECT b.bib_num, s.id AS subject_id
@@ -106,5 +106,9 @@ fact_spl_book_checkout AS (
 """
 
 
-def with_star(select_sql: str) -> str:
-    return f"WITH {STAR_CTE.strip()}\n{select_sql}"
+def with_star(select_sql: str, inventory: str = SQL_INVENTORY, external: str = SQL_EXTERNAL,
+              checkouts: str = SQL_CHECKOUTS, weather: str = SQL_WEATHER) -> str:
+    cte = _STAR.strip()
+    for name, sql in (("@inventory", inventory), ("@external", external), ("@checkouts", checkouts), ("@weather", weather)):
+        cte = cte.replace(name, sql)
+    return f"WITH {cte}\n{select_sql}"

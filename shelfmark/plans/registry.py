@@ -15,18 +15,21 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.keys import md5_bucket, md5_row_key
 from shelfmark.functions.similarity import jaro_winkler
-from shelfmark.functions.temporal import (CHECKOUT_DATETIME_FORMAT, EXTERNAL_DATE_FORMAT, epoch_seconds_to_ts,
-                                          parse_timestamp)
-from shelfmark.functions.text import clean_publisher, format_person_name, normalize_text
+from shelfmark.functions.temporal import (CHECKOUT_DATETIME_FORMAT, EXTERNAL_DATE_FORMAT, INVENTORY_REPORT_FORMAT,
+                                          ISO_DATETIME_FORMAT, epoch_seconds_to_ts, parse_timestamp)
+from shelfmark.functions.text import (clean_publisher, format_person_name, format_person_name_v0,
+                                      normalize_text)
 from shelfmark.operators import match, profile as prof, quality
-from shelfmark.operators.keys import append_new_keys, dense_ids
+from shelfmark.operators.keys import append_new_keys, dense_ids, unique_ids
+from shelfmark.operators.rank import top_n
 from shelfmark.operators.relate import (dedupe_by_key, explode_list, join_any_key, join_on_date_parts,
                                         left_enrich, lookup_filter_join, map_or_raw, two_hop_left_join)
 from shelfmark.plans import analytics as A
 from shelfmark.plans import catalog as C
 from shelfmark.plans import oracle as O
-from shelfmark.plans.star import warehouse_tables
-from shelfmark.session import scratch_path
+from shelfmark.plans import star as S
+from shelfmark.plans.star import StarOptions, warehouse_tables
+from shelfmark.session import materialize, remove_path, scratch_path
 from shelfmark.sources.feeds import explode_json_map, extract_list_links, limit_rows
 from shelfmark.sources.sinks import STAR, conform_schema, write_parquet
 from shelfmark.sources.tables import table
@@ -77,10 +80,14 @@ _DECODE = "replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>')
 @register("html_list_links", rf"""
 SELECT page_id, link_text FROM (
   SELECT page_id, {_DECODE} AS link_text
-  FROM (SELECT page_id, unnest(regexp_extract_all(html, '<li[^>]*>\s*<a[^>]*>([^<]*)</a>', 1)) AS t FROM pages))
-WHERE NOT starts_with(link_text, 'List of ')""")
+  FROM (SELECT page_id, regexp_replace(regexp_extract(item, '(?s)<a\b[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g') AS t
+        FROM (SELECT page_id, unnest(regexp_extract_all(nav, '(?s)<li\b[^>]*>(.*?)</li>', 1)) AS item
+              FROM (SELECT page_id, array_to_string(regexp_extract_all(html, '(?s)<nav\b[^>]*>(.*?)</nav>', 1), ' ') AS nav
+                    FROM pages))
+        WHERE regexp_matches(item, '(?s)<a\b[^>]*>.*?</a>')))
+WHERE NOT starts_with(link_text, 'The')""")
 def q_html_list_links(spark, d):
-    links, _ = extract_list_links(_t(spark, d, "pages"), "page_id", "html")
+    links, _ = extract_list_links(_t(spark, d, "pages"), "page_id", "html", "The", tag="nav")
     return links
 
 
@@ -99,16 +106,20 @@ def q_parquet_round_trip(spark, d):
     write_parquet(li.withColumn("year", F.year("l_shipdate")).withColumn("month", F.month("l_shipdate")),
                   path, partition_by=["year", "month"])
     back = spark.read.parquet(path)
-    return back.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_qty"))
+    out = materialize(back.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_qty")))
+    remove_path(spark, path)
+    return out
 
 
 @register("conform_schema", O.with_star("SELECT * FROM dim_book"))
 def q_conform_schema(spark, d):
     # written with the job's parquet names, loaded by position into the DDL names
-    books = _star(spark, d)["dim_book"].withColumnRenamed("avg_rating", "average_rating")
+    books = S.build_books(C.linked_books(spark, d)).withColumnRenamed("avg_rating", "average_rating")
     path = scratch_path(spark, "dim_book")
-    write_parquet(books, path)
-    return conform_schema(spark.read.parquet(path), STAR["dim_book"], by_position=True)
+    write_parquet(books, path, files=2)
+    out = materialize(conform_schema(spark.read.parquet(path), STAR["dim_book"], by_position=True))
+    remove_path(spark, path)
+    return out
 
 
 # --------------------------------------------------------------------------- projection and filters
@@ -142,6 +153,31 @@ def q_prefix_distinct(spark, d):
     return _t(spark, d, "part").filter(~F.lower("p_name").startswith("small")).select("p_name").distinct()
 
 
+@register("prefix_filter", "SELECT p_partkey, p_name FROM part WHERE starts_with(p_name, 's')")
+def q_prefix_filter(spark, d):
+    return _t(spark, d, "part").filter(F.col("p_name").startswith("s")).select("p_partkey", "p_name")
+
+
+@register("point_filter", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey = 7")
+def q_point_filter(spark, d):
+    return _t(spark, d, "orders").filter(F.col("o_custkey") == 7).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@register("top_rows", """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25""")
+def q_top_rows(spark, d):
+    return top_n(_t(spark, d, "orders").select("o_orderkey", "o_totalprice"),
+                 [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], 25)
+
+
+@register("unique_row_ids", "SELECT count(*) AS n_rows, count(*) AS n_ids, true AS in_order FROM lineitem")
+def q_unique_row_ids(spark, d):
+    # the ids differ per run: what is promised is one per row, growing with the rows of a task
+    rows = unique_ids(_t(spark, d, "lineitem").select("l_orderkey"), "row_id")
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"),
+                    (F.min("row_id") >= 0).alias("in_order"))
+
+
 @register("hash_sample", """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 WHERE (('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT) % 100 < 20""")
@@ -153,12 +189,17 @@ def q_hash_sample(spark, d):
 # --------------------------------------------------------------------------- joins
 
 @register("or_key_join", f"""
-WITH inv AS ({C.SQL_INVENTORY}), ext AS ({C.SQL_EXTERNAL}),
-ik AS (SELECT bib_num, unnest(string_split(isbns, ', ')) AS k FROM inv)
-SELECT ik.bib_num, ik.k, e.bookID FROM ik JOIN ext e ON ik.k = e.isbn OR ik.k = e.isbn13""")
+WITH ik AS (SELECT p_partkey, unnest([CAST(p_partkey AS VARCHAR), '978' || CAST(p_partkey * 3 AS VARCHAR)]) AS k FROM part)
+SELECT ik.p_partkey, ik.k, c_custkey FROM ik
+JOIN customer ON ik.k = CAST(c_custkey AS VARCHAR) OR ik.k = '978' || CAST(c_custkey AS VARCHAR)""")
 def q_or_key_join(spark, d):
-    keys = explode_list(C.inventory(spark, d), "isbns", "k", keep=["bib_num"])
-    return join_any_key(keys, C.external_books(spark, d), "k", ["isbn", "isbn13"]).select("bib_num", "k", "bookID")
+    # keys are near unique, as ISBNs are: two numbers a part, two a customer
+    key = F.col("p_partkey")
+    two = F.concat_ws(", ", key.cast("string"), F.concat(F.lit("978"), (key * 3).cast("string")))
+    keys = explode_list(_t(spark, d, "part").select("p_partkey", two.alias("isbns")), "isbns", "k", keep=["p_partkey"])
+    other = _t(spark, d, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("isbn"),
+                                            F.concat(F.lit("978"), F.col("c_custkey").cast("string")).alias("isbn13"))
+    return join_any_key(keys, other, "k", ["isbn", "isbn13"]).select("p_partkey", "k", "c_custkey")
 
 
 @register("left_enrich", """
@@ -193,14 +234,15 @@ def q_date_parts_join(spark, d):
 SELECT c.*, p.id AS publisher_id FROM co c
 LEFT JOIN pub_lookup l ON l.bib_num = c.bib_num LEFT JOIN dim_publisher_k p ON p.key = l.key"""))
 def q_two_hop_left_join(spark, d):
-    s = _star(spark, d)
-    return two_hop_left_join(C.checkouts(spark, d), s["_publisher_lookup"], s["_dim_publisher_keyed"],
+    lookup = S.publisher_lookup(C.linked_books(spark, d), None)
+    return two_hop_left_join(C.checkouts(spark, d), lookup, S.build_publishers(lookup),
                              "bib_num", "bib_num", "key", "key", {"id": "publisher_id"})
 
 
 @register("bridge_multi_value", O.with_star("SELECT * FROM br_book_subject"))
 def q_bridge_multi_value(spark, d):
-    return _star(spark, d)["br_book_subject"]
+    books = C.linked_books(spark, d)
+    return S.build_book_subjects(books, S.build_subjects(books))
 
 
 # fuzzy-matching inputs: official names = distinct part names; dirty names = part
@@ -208,7 +250,7 @@ def q_bridge_multi_value(spark, d):
 def _raw_names(spark, d):
     p = _t(spark, d, "part")
     return (p.select("p_partkey", F.concat(F.col("p_name"), F.lit(" "), F.lower("p_type")).alias("raw_name"))
-             .unionByName(p.select("p_partkey", F.substring("p_name", 2, 1 << 20).alias("raw_name"))))
+             .unionByName(p.select("p_partkey", F.substr(F.col("p_name"), F.lit(2)).alias("raw_name"))))
 
 
 def _gazetteer(spark, d):
@@ -316,27 +358,24 @@ def q_dedupe_pairs(spark, d):
 
 @register("never_referenced", O.with_star("""
 SELECT bib_num, title FROM dim_book b
-WHERE NOT EXISTS (SELECT 1 FROM fact_spl_book_checkout f WHERE f.bib_num = b.bib_num)"""))
+WHERE NOT EXISTS (SELECT 1 FROM fact_spl_book_checkout f
+                  WHERE f.bib_num = b.bib_num AND year(f.checkout_datetime) = 1998)"""))
 def q_never_referenced(spark, d):
+    # every part is sold at some time: the question is asked for one year
     s = _star(spark, d)
-    return A.books_never_checked_out(s["dim_book"], s["fact_spl_book_checkout"])
+    return A.books_never_checked_out(s["dim_book"], s["fact_spl_book_checkout"].filter("year(checkout_datetime) = 1998"))
 
 
-def _fk_sql(child, col, parent, pcol):
+def _fk_sql(child, col, parent, pcol, tables=None):
     return (f"SELECT 'foreign_key' AS check_name, '{child}' AS table_name, '{col}' AS column_name, "
             f"CAST(count(*) AS DOUBLE) AS observed, '-> {parent}.{pcol}: 0 orphans' AS bound, count(*) = 0 AS passed "
             f"FROM {child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
-            f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
+            f"(SELECT 1 FROM {(tables or {}).get(parent, parent)} p WHERE p.{pcol} = c.{col})")
 
 
 _FK_SQL = "\nUNION ALL\n".join(_fk_sql(t.name, c, rt, rc) for t in STAR.values() for c, rt, rc in t.foreign_keys)
 
 
-@register("fk_violations", O.with_star(_FK_SQL))
-def q_fk_violations(spark, d):
-    return quality.fk_violations(warehouse_tables(_star(spark, d)))
-
-
 # --------------------------------------------------------------------------- aggregation
 
 _CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -363,9 +402,9 @@ def q_basic_stats(spark, d):
 
 
 @register("length_extremes", """
-(SELECT doc_id, length(text) AS len, 'shortest' AS kind FROM documents ORDER BY len, doc_id LIMIT 10)
+(SELECT doc_id, length(text) AS len, 'shortest' AS kind, text AS value FROM documents ORDER BY len, doc_id LIMIT 10)
 UNION ALL
-(SELECT doc_id, length(text) AS len, 'longest' AS kind FROM documents ORDER BY len DESC, doc_id LIMIT 10)""")
+(SELECT doc_id, length(text) AS len, 'longest' AS kind, text AS value FROM documents ORDER BY len DESC, doc_id LIMIT 10)""")
 def q_length_extremes(spark, d):
     return prof.length_extremes(_t(spark, d, "documents"), "text", "doc_id", 10)
 
@@ -409,7 +448,7 @@ def q_group_by_year_stats(spark, d):
 
 
 @register("key_frequency", """
-SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) >= 2""")
+SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey""")
 def q_key_frequency(spark, d):
     return prof.key_frequency(_t(spark, d, "orders"), ["o_custkey"])
 
@@ -443,13 +482,13 @@ def q_explode_counts(spark, d):
 
 @register("clean_title", O.with_star("SELECT bib_num, title, raw_title FROM dim_book"))
 def q_clean_title(spark, d):
-    return _star(spark, d)["dim_book"].select("bib_num", "title", "raw_title")
+    return S.build_books(C.linked_books(spark, d)).select("bib_num", "title", "raw_title")
 
 
 @register("extract_min_year", O.with_star(
     "SELECT publication_year, count(*) AS n_books FROM dim_book GROUP BY publication_year"))
 def q_extract_min_year(spark, d):
-    return A.books_per_publication_year(_star(spark, d)["dim_book"])
+    return A.books_per_publication_year(S.build_books(C.linked_books(spark, d)))
 
 
 @register("clean_trailing_commas", f"""
@@ -467,19 +506,27 @@ def q_format_person_name(spark, d):
     return C.inventory(spark, d).select("bib_num", "raw_author", format_person_name("raw_author").alias("author"))
 
 
+@register("format_person_name_v0", f"""
+WITH inv AS ({C.SQL_INVENTORY}), p AS (SELECT bib_num, raw_author, string_split(raw_author, ', ') AS p FROM inv)
+SELECT bib_num, CASE WHEN len(p) IN (2, 3) THEN p[2] || ' ' || p[1] ELSE raw_author END AS author FROM p""")
+def q_format_person_name_v0(spark, d):
+    return C.inventory(spark, d).select("bib_num", format_person_name_v0("raw_author").alias("author"))
+
+
 @register("normalize_text", f"""
 WITH inv AS ({C.SQL_INVENTORY})
-SELECT bib_num, {O.normalize('raw_title')} AS title_key, {O.normalize('raw_publisher')} AS publisher_key FROM inv""")
+SELECT bib_num, {O.normalize('raw_title')} AS title_key, {O.normalize("raw_title || '  ''x  (' || raw_author || ') '")} AS long_key,
+       {O.normalize('raw_publisher')} AS publisher_key FROM inv""")
 def q_normalize_text(spark, d):
+    longer = F.concat(F.col("raw_title"), F.lit("  'x  ("), F.col("raw_author"), F.lit(") "))
     return C.inventory(spark, d).select("bib_num", normalize_text("raw_title").alias("title_key"),
+                                        normalize_text(longer).alias("long_key"),
                                         normalize_text("raw_publisher").alias("publisher_key"))
 
 
 @register("union_normalise", O.with_star("SELECT bib_num, name, key FROM author_keys"))
 def q_union_normalise(spark, d):
-    from shelfmark.plans.star import StarOptions, _book_author_names
-
-    names = _book_author_names(_star(spark, d)["_books"], StarOptions())
+    names = S.book_author_names(C.linked_books(spark, d), StarOptions())
     return names.select("bib_num", "name", normalize_text("name").alias("key"))
 
 
@@ -495,21 +542,22 @@ def q_md5_row_key(spark, d):
 
 @register("time_dimension", O.with_star("SELECT * FROM dim_checkout_time"))
 def q_time_dimension(spark, d):
-    return _star(spark, d)["dim_checkout_time"]
+    return S.build_time_dim(C.checkouts(spark, d))
 
 
-@register("parse_timestamps", """
-SELECT o_orderkey,
-       strptime(strftime(o_orderdate, '%m/%d/%Y %-I:%-M:%-S %p'), '%m/%d/%Y %I:%M:%S %p') AS checkout_ts,
-       strptime(strftime(o_orderdate, '%-m/%-d/%Y'), '%m/%d/%Y') AS external_ts
-FROM orders""")
+@register("parse_timestamps", f"""
+WITH co AS ({C.SQL_CHECKOUTS})
+SELECT item_barcode, checkout_datetime AS checkout_ts, checkout_datetime AS report_ts, checkout_datetime AS iso_ts,
+       date_trunc('day', checkout_datetime)::TIMESTAMP AS external_ts, CAST(NULL AS TIMESTAMP) AS bad_ts FROM co""")
 def q_parse_timestamps(spark, d):
-    o = _t(spark, d, "orders")
-    return o.select("o_orderkey",
-                    parse_timestamp(F.date_format("o_orderdate", CHECKOUT_DATETIME_FORMAT), CHECKOUT_DATETIME_FORMAT)
-                    .alias("checkout_ts"),
-                    parse_timestamp(F.date_format("o_orderdate", EXTERNAL_DATE_FORMAT), EXTERNAL_DATE_FORMAT)
-                    .alias("external_ts"))
+    co = C.checkouts(spark, d)
+    text = lambda fmt: F.date_format("checkout_datetime", fmt)
+    return co.select("item_barcode",
+                     parse_timestamp(text(CHECKOUT_DATETIME_FORMAT), CHECKOUT_DATETIME_FORMAT).alias("checkout_ts"),
+                     parse_timestamp(text(INVENTORY_REPORT_FORMAT), INVENTORY_REPORT_FORMAT).alias("report_ts"),
+                     parse_timestamp(text(ISO_DATETIME_FORMAT), ISO_DATETIME_FORMAT).alias("iso_ts"),
+                     parse_timestamp(text(EXTERNAL_DATE_FORMAT), EXTERNAL_DATE_FORMAT).alias("external_ts"),
+                     parse_timestamp(text("HH-mm"), EXTERNAL_DATE_FORMAT).alias("bad_ts"))
 
 
 # --------------------------------------------------------------------------- keys, dimensions, fact
@@ -523,40 +571,45 @@ def q_surrogate_key(spark, d):
 
 @register("dim_multi_value", O.with_star("SELECT * FROM dim_subject"))
 def q_dim_multi_value(spark, d):
-    return _star(spark, d)["dim_subject"]
+    return S.build_subjects(C.linked_books(spark, d))
 
 
 @register("dim_normalised", O.with_star("SELECT * FROM dim_author"))
 def q_dim_normalised(spark, d):
-    return _star(spark, d)["dim_author"]
+    return S.build_authors(C.linked_books(spark, d)).select("id", "name")
 
 
 @register("bridge_normalised", O.with_star("SELECT * FROM br_book_author"))
 def q_bridge_normalised(spark, d):
-    return _star(spark, d)["br_book_author"]
+    books = C.linked_books(spark, d)
+    return S.build_book_authors(books, S.build_authors(books))
 
 
 @register("dim_from_lookup", O.with_star("SELECT * FROM dim_publisher"))
 def q_dim_from_lookup(spark, d):
-    return _star(spark, d)["dim_publisher"]
+    return S.build_publishers(S.publisher_lookup(C.linked_books(spark, d), None)).select("id", "name")
 
 
 @register("fact_build", O.with_star("SELECT * FROM fact_spl_book_checkout"))
 def q_fact_build(spark, d):
-    return _star(spark, d)["fact_spl_book_checkout"]
+    lookup = S.publisher_lookup(C.linked_books(spark, d), None)
+    return S.build_fact(C.checkouts(spark, d), C.weather(spark, d), lookup, S.build_publishers(lookup))
 
 
 @register("incremental_keys", """
-WITH t AS (SELECT DISTINCT l_shipdate AS checkout_datetime FROM lineitem),
-old AS (SELECT checkout_datetime, row_number() OVER (ORDER BY checkout_datetime) - 1 AS id FROM t
-        WHERE year(checkout_datetime) < 1998),
+WITH t AS (SELECT DISTINCT CASE WHEN day(l_shipdate) <> 13 THEN l_shipdate END AS checkout_datetime FROM lineitem),
+old AS (SELECT checkout_datetime, row_number() OVER (ORDER BY checkout_datetime NULLS FIRST) - 1 AS id FROM t
+        WHERE year(checkout_datetime) < 1998 OR checkout_datetime IS NULL),
 new AS (SELECT checkout_datetime,
                (SELECT coalesce(max(id), -1) FROM old) + row_number() OVER (ORDER BY checkout_datetime) AS id
-        FROM t WHERE checkout_datetime NOT IN (SELECT checkout_datetime FROM old))
+        FROM t WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.checkout_datetime IS NOT DISTINCT FROM t.checkout_datetime))
 SELECT * FROM old UNION ALL SELECT * FROM new""")
 def q_incremental_keys(spark, d):
-    times = _t(spark, d, "lineitem").select(F.col("l_shipdate").alias("checkout_datetime")).distinct()
-    first_load = dense_ids(times.filter(F.year("checkout_datetime") < 1998), ["checkout_datetime"], "id")
+    # the 13th of a month stands for a bad date: a NULL key in both loads
+    time = F.when(F.dayofmonth("l_shipdate") != 13, F.col("l_shipdate"))
+    times = _t(spark, d, "lineitem").select(time.alias("checkout_datetime")).distinct()
+    first = F.col("checkout_datetime").isNull() | (F.year("checkout_datetime") < 1998)
+    first_load = dense_ids(times.filter(first), ["checkout_datetime"], "id")
     _, full = append_new_keys(first_load, times, "checkout_datetime", "id")
     return full
 
@@ -611,12 +664,39 @@ def q_quality_checks(spark, d):
     return quality.quality_checks(warehouse_tables(_star(spark, d)))
 
 
+def _dirty(spark, d):
+    """The star with faults: subjects and books that stand twice, authors and
+    publishers and times that are missing."""
+    s = dict(warehouse_tables(_star(spark, d)))
+    s["dim_subject"] = s["dim_subject"].unionByName(s["dim_subject"].filter("id % 7 = 0"))
+    s["dim_book"] = s["dim_book"].unionByName(s["dim_book"].filter("cast(bib_num as bigint) % 11 = 0"))
+    s["dim_author"] = s["dim_author"].filter("id % 5 <> 0")
+    s["dim_publisher"] = s["dim_publisher"].filter("id % 3 <> 0")
+    s["dim_checkout_time"] = s["dim_checkout_time"].filter("hour <> 13")
+    return s
+
+
+_DIRTY_SQL = {
+    "dim_subject": "(SELECT * FROM dim_subject UNION ALL SELECT * FROM dim_subject WHERE id % 7 = 0)",
+    "dim_book": "(SELECT * FROM dim_book UNION ALL SELECT * FROM dim_book WHERE CAST(bib_num AS BIGINT) % 11 = 0)",
+    "dim_author": "(SELECT * FROM dim_author WHERE id % 5 <> 0)",
+    "dim_publisher": "(SELECT * FROM dim_publisher WHERE id % 3 <> 0)",
+    "dim_checkout_time": "(SELECT * FROM dim_checkout_time WHERE hour <> 13)",
+}
+
+
 @register("pk_violations", O.with_star("\nUNION ALL\n".join(
     f"SELECT '{t.name}' AS table_name, CAST({t.primary_key[0]} AS VARCHAR) AS key_value, count(*) AS n "
-    f"FROM {t.name} GROUP BY {t.primary_key[0]} HAVING count(*) > 1"
+    f"FROM {_DIRTY_SQL.get(t.name, t.name)} GROUP BY {t.primary_key[0]} HAVING count(*) > 1"
     for t in STAR.values() if t.primary_key)))
 def q_pk_violations(spark, d):
-    return quality.pk_violations(warehouse_tables(_star(spark, d)))
+    return quality.pk_violations(_dirty(spark, d))
+
+
+@register("fk_violations", O.with_star("\nUNION ALL\n".join(
+    _fk_sql(t.name, c, rt, rc, _DIRTY_SQL) for t in STAR.values() for c, rt, rc in t.foreign_keys)))
+def q_fk_violations(spark, d):
+    return quality.fk_violations(_dirty(spark, d))
 
 
 # --------------------------------------------------------------------------- analytic questions
@@ -706,8 +786,8 @@ def q_new_vs_old(spark, d):
 
 
 @register("count_per_dim", O.with_star("""
-SELECT f.publisher_id, p.name AS publisher, count(DISTINCT f.bib_num) AS n_books
-FROM fact_spl_book_checkout f LEFT JOIN dim_publisher p ON p.id = f.publisher_id GROUP BY ALL"""))
+SELECT p.id AS publisher_id, p.name AS publisher, count(DISTINCT l.bib_num) AS n_books
+FROM pub_lookup l LEFT JOIN dim_publisher_k p ON p.key = l.key GROUP BY ALL"""))
 def q_count_per_dim(spark, d):
-    s = _star(spark, d)
-    return A.books_per_publisher(s["fact_spl_book_checkout"], s["dim_publisher"])
+    lookup = S.publisher_lookup(C.linked_books(spark, d), None)
+    return A.books_per_publisher(lookup, S.build_publishers(lookup))

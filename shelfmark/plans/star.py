@@ -18,14 +18,12 @@ from shelfmark.functions.temporal import CHECKOUT_DATETIME_FORMAT, parse_timesta
 from shelfmark.functions.text import (clean_publication_year, clean_publisher, clean_title, format_person_name,
                                       normalize_text, split_list)
 from shelfmark.operators.keys import dense_ids
-from shelfmark.operators.relate import (bounded_broadcast, dedupe_by_key, join_on_date_parts, link_multi_key, lookup_filter_join,
+from shelfmark.operators.relate import (dedupe_by_key, join_on_date_parts, link_multi_key, lookup_filter_join,
                                         map_or_raw, two_hop_left_join)
 from shelfmark.session import materialize
 
 # The print-book filter of the data dictionary.
 PRINT_BOOK_FILTER = {"Code Type": "ItemType", "Format Group": "Print", "Format Subgroup": "Book"}
-# Largest book lookup / dimension broadcast into the fact build (beyond it: shuffle join).
-LOOKUP_BROADCAST_ROWS = 2_000_000
 # Linked-book columns taken from the external feed.
 EXTERNAL_COLUMNS = {"title": "gr_title", "authors": "gr_authors", "publication_date": "gr_publication_date",
                     "average_rating": "gr_average_rating", "ratings_count": "gr_ratings_count",
@@ -39,24 +37,21 @@ class StarOptions:
     external_author_delimiter: str = "/"   # D1: one delimiter for dimension and bridge
     prefer_external_authors: bool = False  # D2: False = union of both sources, as the job does
     distinct_bridges: bool = False         # D3: bridges keep duplicates unless asked
-    limit_records: int = 0                 # D13: applied before the print-book filter
     num_partitions: int | None = None
 
 
-def load_inventory_books(inventory: DataFrame, dictionary: DataFrame, limit_records: int = 0) -> DataFrame:
+def load_inventory_books(inventory: DataFrame, dictionary: DataFrame) -> DataFrame:
     """B1. Print books of the inventory, one row per BibNum (deterministic)."""
-    df = inventory.limit(limit_records) if limit_records else inventory
-    df = lookup_filter_join(df, dictionary, "ItemType", "Code", PRINT_BOOK_FILTER)
+    df = lookup_filter_join(inventory, dictionary, "ItemType", "Code", PRINT_BOOK_FILTER)
     df = df.select(F.col("BibNum").alias("bib_num"), F.col("ISBN").alias("isbns"), F.col("Title").alias("raw_title"),
                    F.col("Author").alias("raw_author"), F.col("PublicationYear").alias("raw_publication_year"),
                    F.col("Publisher").alias("raw_publisher"), F.col("Subjects").alias("raw_subjects"))
     return dedupe_by_key(df, ["bib_num"])
 
 
-def load_checkout_rows(checkouts: DataFrame, dictionary: DataFrame, limit_records: int = 0) -> DataFrame:
+def load_checkout_rows(checkouts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """B2. Print-book checkouts with the time parsed (``h:m:s a`` clock)."""
-    df = checkouts.limit(limit_records) if limit_records else checkouts
-    df = lookup_filter_join(df, dictionary, "ItemType", "Code", PRINT_BOOK_FILTER)
+    df = lookup_filter_join(checkouts, dictionary, "ItemType", "Code", PRINT_BOOK_FILTER)
     return df.select(F.col("BibNumber").alias("bib_num"), F.col("ItemBarcode").alias("item_barcode"),
                      parse_timestamp("CheckoutDateTime", CHECKOUT_DATETIME_FORMAT).alias("checkout_datetime"))
 
@@ -82,7 +77,7 @@ def build_book_subjects(books: DataFrame, dim_subject: DataFrame, opts: StarOpti
     return out.distinct() if opts.distinct_bridges else out
 
 
-def _book_author_names(books: DataFrame, opts: StarOptions) -> DataFrame:
+def book_author_names(books: DataFrame, opts: StarOptions) -> DataFrame:
     local = books.select("bib_num", format_person_name("raw_author").alias("name"))
     ext = books.select("bib_num", F.explode(split_list("gr_authors", opts.external_author_delimiter)).alias("name"))
     if opts.prefer_external_authors:
@@ -94,14 +89,14 @@ def _book_author_names(books: DataFrame, opts: StarOptions) -> DataFrame:
 def build_authors(books: DataFrame, opts: StarOptions = StarOptions()) -> DataFrame:
     """B5. dim_author(id, name, key): one row per normalised name; the name
     kept for a key is the smallest spelling (deterministic)."""
-    names = _book_author_names(books, opts).select("name", normalize_text("name").alias("key"))
+    names = book_author_names(books, opts).select("name", normalize_text("name").alias("key"))
     one = dedupe_by_key(names, ["key"], ["name"])
     return dense_ids(one, ["key"], "id", num_partitions=opts.num_partitions).select("id", "name", "key")
 
 
 def build_book_authors(books: DataFrame, dim_author: DataFrame, opts: StarOptions = StarOptions()) -> DataFrame:
     """B6. br_book_author(bib_num, author_id) by normalised name."""
-    pairs = _book_author_names(books, opts).select("bib_num", normalize_text("name").alias("_k"))
+    pairs = book_author_names(books, opts).select("bib_num", normalize_text("name").alias("_k"))
     out = pairs.join(dim_author.select(F.col("key").alias("_k"), F.col("id").alias("author_id")), "_k")
     out = out.select("bib_num", "author_id")
     return out.distinct() if opts.distinct_bridges else out
@@ -149,11 +144,8 @@ def build_fact(checkouts: DataFrame, weather: DataFrame, lookup: DataFrame, dim_
     publisher id through the bib lookup (J6) + md5 row id (F8)."""
     df = join_on_date_parts(checkouts.select("bib_num", "item_barcode", "checkout_datetime"), "checkout_datetime",
                             weather, columns=[F.col("temperature").cast("double").alias("temperature")])
-    # book lookup and publisher dimension grow with the catalogue, not with
-    # checkouts; they are materialised, so their row count is a cheap check
-    df = two_hop_left_join(df, bounded_broadcast(lookup, LOOKUP_BROADCAST_ROWS),
-                           bounded_broadcast(dim_publisher, LOOKUP_BROADCAST_ROWS),
-                           "bib_num", "bib_num", "key", "key", {"id": "publisher_id"})
+    # one fact-side join: the lookup meets the publisher dimension first
+    df = two_hop_left_join(df, lookup, dim_publisher, "bib_num", "bib_num", "key", "key", {"id": "publisher_id"})
     df = df.withColumn("id", md5_row_key("bib_num", "item_barcode", "checkout_datetime"))
     return df.select("bib_num", "item_barcode", "checkout_datetime", "temperature", "publisher_id", "id")
 
@@ -195,6 +187,6 @@ def build_star(inventory: DataFrame, dictionary: DataFrame, checkouts: DataFrame
                opts: StarOptions = StarOptions()) -> dict[str, DataFrame]:
     """B12. Raw feeds -> the eight star tables (lazy except for the
     materialised books and dimension ids)."""
-    books = link_external_books(load_inventory_books(inventory, dictionary, opts.limit_records), external, opts)
-    co = load_checkout_rows(checkouts, dictionary, opts.limit_records)
+    books = link_external_books(load_inventory_books(inventory, dictionary), external, opts)
+    co = load_checkout_rows(checkouts, dictionary)
     return build_star_from_books(books, co, weather, name_map, opts)

@@ -71,3 +71,9 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate, wherever the shared folder lives."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -87,10 +87,11 @@ def read_json_map_files(spark: SparkSession, path: str, key_name: str = "file_ke
 
 
 def extract_list_links(pages: DataFrame, id_col: str, html_col: str,
-                       exclude_prefix: str = "List of ") -> tuple[DataFrame, DataFrame]:
+                       exclude_prefix: str = "List of ", tag: str | None = None,
+                       css_class: str | None = None) -> tuple[DataFrame, DataFrame]:
     """S6. First link text of each list item, minus texts starting with
     ``exclude_prefix``.  Returns (links, dropped count per page)."""
-    all_links = first_list_item_links(html_col, exclude_prefix=None)
+    all_links = first_list_item_links(html_col, None, tag, css_class)
     base = pages.select(F.col(id_col), all_links.alias("_links"))
     links = base.select(F.col(id_col), F.explode("_links").alias("link_text")) \
                 .filter(~F.col("link_text").startswith(exclude_prefix))

@@ -74,12 +74,15 @@ STAR: dict[str, TableDef] = {t.name: t for t in [
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, mode: str = "overwrite",
-                  sort_within: Sequence[str] | None = None) -> None:
+                  sort_within: Sequence[str] | None = None, files: int | None = None) -> None:
     """S9/S10. Parquet writer.  With ``partition_by`` the rows are rebalanced
     on the partition columns first: AQE splits a hot partition value over
     several tasks (a month holding a third of all rows does not land in one
-    task) and merges small ones, which bounds both file size and file count."""
-    if partition_by:
+    task) and merges small ones, which bounds both file size and file count.
+    ``files`` fixes the number of writing tasks (and so of files per value)."""
+    if files:
+        df = df.repartition(files, *(partition_by or ()))
+    elif partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
@@ -97,12 +100,19 @@ def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overw
 def conform_schema(df: DataFrame, table: TableDef | str, by_position: bool = True) -> DataFrame:
     """S13. Shape a frame to a declared table: take columns by position (as a
     warehouse bulk load does) or by name, rename to the declared names, cast
-    to the declared types, in declared order."""
+    to the declared types, in declared order.  A missing or extra column and a
+    value that does not fit its type fail the load, as a warehouse load does."""
     t = STAR[table] if isinstance(table, str) else table
-    src = df.columns[: len(t.columns)] if by_position else t.names
-    if len(src) != len(t.columns):
-        raise ValueError(f"{t.name}: expected {len(t.columns)} columns, got {len(src)}")
-    return df.select(*[F.col(s).try_cast(c.type).alias(c.name) for s, c in zip(src, t.columns)])
+    src = df.columns if by_position else t.names
+    if len(df.columns) != len(t.columns) or not by_position and set(df.columns) != set(t.names):
+        raise ValueError(f"{t.name}: expected columns {t.names}, got {df.columns}")
+
+    def cast(s: str, c: Column_):
+        value = F.col(s).try_cast(c.type)
+        bad = F.col(s).isNotNull() & value.isNull()
+        message = F.concat(F.lit(f"{t.name}.{c.name}: not a {c.type}: "), F.col(s).cast("string"))
+        return F.when(bad, F.raise_error(message).cast(c.type)).otherwise(value).alias(c.name)
+    return df.select(*[cast(s, c) for s, c in zip(src, t.columns)])
 
 
 def save_star_tables(spark: SparkSession, tables: Mapping[str, DataFrame], database: str,
@@ -125,7 +135,7 @@ def save_star_tables(spark: SparkSession, tables: Mapping[str, DataFrame], datab
         w.saveAsTable(f"{database}.{name}")
 
 
-def write_star(tables: Mapping[str, DataFrame], root: str) -> None:
+def write_star(tables: Mapping[str, DataFrame], root: str, dimension_files: int | None = None) -> None:
     """B12 writer: each table under ``root/<name>``; the fact partitioned by
     checkout year and month, sorted by time inside files (min/max skipping
     on time filters)."""
@@ -142,4 +152,5 @@ def write_star(tables: Mapping[str, DataFrame], root: str) -> None:
             # second sort, and rows inside each file stay in time order
             write_parquet(df, path, partition_by=["year", "month"], sort_within=["year", "month", "checkout_datetime"])
         else:
-            write_parquet(df, path)
+            # dimensions are rebalanced: AQE writes as few files as their size needs
+            write_parquet(df if dimension_files else df.hint("rebalance"), path, files=dimension_files)

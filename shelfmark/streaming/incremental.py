@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,8 +38,10 @@ class IncrementalTargets:
 def _read_batches(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.option("basePath", root).parquet(root)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":  # nothing written yet
+            return None
+        raise
 
 
 def load_batch(batch: DataFrame, batch_id: int, dictionary: DataFrame, weather: DataFrame,
@@ -50,8 +53,8 @@ def load_batch(batch: DataFrame, batch_id: int, dictionary: DataFrame, weather:
         times = build_time_dim(checkouts)
         stored = _read_batches(spark, targets.time_root)
         if stored is not None:
-            known = stored.filter(F.col("batch") != batch_id).select("checkout_datetime")
-            times = times.join(known, "checkout_datetime", "left_anti")
+            known = stored.filter(F.col("batch") != batch_id).select(F.col("checkout_datetime").alias("_known"))
+            times = times.join(known, F.col("checkout_datetime").eqNullSafe(F.col("_known")), "left_anti")
         times.write.mode("overwrite").parquet(os.path.join(targets.time_root, f"batch={batch_id}"))
 
         fact = build_fact(checkouts, weather, lookup, dim_publisher)

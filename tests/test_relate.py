@@ -48,13 +48,22 @@ def test_left_enrich_never_fans_out(spark):
     assert sorted((r.id, r.v) for r in out.collect()) == [(1, "y"), (2, "z"), (3, None)]
 
 
-def test_lookup_filter_join_is_broadcast_semi(spark):
+def test_append_new_keys_keeps_a_null_key_once(spark):
+    old = spark.createDataFrame([("a", 0), (None, 1)], "k string, id long")
+    cand = spark.createDataFrame([("a",), (None,), ("b",), (None,)], "k string")
+    added, full = keys.append_new_keys(old, cand, "k")
+    assert [(r.k, r.id) for r in added.collect()] == [("b", 2)]
+    assert sorted((str(r.k), r.id) for r in full.collect()) == [("None", 1), ("a", 0), ("b", 2)]
+
+
+def test_lookup_filter_join_is_semi(spark):
     big = spark.range(100).select(F.col("id"), (F.col("id") % 4).cast("string").alias("code"))
     lk = spark.createDataFrame([("0", "ItemType", "Print"), ("1", "ItemType", "Media"), ("2", "Other", "Print")],
                                "Code string, t string, g string")
     out = relate.lookup_filter_join(big, lk, "code", "Code", {"t": "ItemType", "g": "Print"})
     assert out.count() == 25 and out.columns == ["id", "code"]
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "GlobalLimit" not in plan
 
 
 def test_date_parts_join_and_two_hop(spark):

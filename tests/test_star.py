@@ -49,7 +49,7 @@ def test_print_books_only_and_one_row_per_bib(star):
     assert sorted(books) == ["1", "2", "4"]
     assert books["1"].title == "The Only Child"         # external title wins
     assert books["1"].publication_year == 2008
-    assert books["2"].publication_year is None or books["2"].publication_year == 1988
+    assert books["2"].publication_year == 1988            # no external date: smallest year of the text
     assert books["4"].title == "No isbn" and books["4"].avg_rating is None
 
 
@@ -123,3 +123,18 @@ def test_distinct_bridges_option(star):
     from shelfmark.plans.star import build_book_subjects
     br = build_book_subjects(star["_books"], star["dim_subject"], StarOptions(distinct_bridges=True))
     assert br.count() == br.distinct().count()
+
+
+def test_cached_star_keeps_options_apart(spark):
+    from shelfmark.plans import catalog
+    d = "/root/testdata/sf0.001"
+    plain = catalog.star(spark, d)
+    other = catalog.star(spark, d, StarOptions(distinct_bridges=True, prefer_external_authors=True))
+    assert plain is not other and catalog.star(spark, d) is plain
+    assert other["br_book_author"].count() < plain["br_book_author"].count()
+
+
+def test_books_per_publisher_counts_books_never_borrowed(spark, star):
+    from shelfmark.plans.analytics import books_per_publisher
+    out = {r.publisher: r.n_books for r in books_per_publisher(star["_publisher_lookup"], star["_dim_publisher_keyed"]).collect()}
+    assert sum(out.values()) == 3 and 2 in out.values()

@@ -32,12 +32,29 @@ def test_incremental_append_without_duplicates(spark, tmp):
     assert read_fact(spark, t).count() == 1
 
     _file(src, "c2.csv", [("1", "0000000000001", "acbk", "x", "y", "01/01/2017 01:00:00 PM"),
+                          ("4", "0000000000004", "acbk", "x", "y", "no date"),
                           ("3", "0000000000003", "acbk", "x", "y", "01/02/2017 09:00:00 AM")])
     q = start_checkout_stream(spark, src, dictionary, weather, lookup, pub, t)
     q.awaitTermination(120)
     fact = read_fact(spark, t)
-    assert fact.count() == 3                       # file 1 is not re-read
+    assert fact.count() == 4                       # file 1 is not re-read
     times = spark.read.option("basePath", t.time_root).parquet(t.time_root)
-    assert times.count() == 2                      # the repeated time is not appended twice
+    assert times.count() == 3                      # the repeated time is not appended twice
     r = fact.filter(F.col("bib_num") == "1").select("temperature", "publisher_id").distinct().collect()
     assert [(x.temperature, x.publisher_id) for x in r] == [(40.0, 0)]
+
+    _file(src, "c3.csv", [("4", "0000000000005", "acbk", "x", "y", "again no date")])
+    start_checkout_stream(spark, src, dictionary, weather, lookup, pub, t).awaitTermination(120)
+    times = spark.read.option("basePath", t.time_root).parquet(t.time_root)
+    assert times.filter("checkout_datetime is null").count() == 1 and times.count() == 3  # a bad date is one key
+
+
+def test_only_a_missing_folder_counts_as_nothing_written(spark, tmp):
+    from pyspark.errors import AnalysisException
+    import pytest
+
+    from shelfmark.streaming.incremental import _read_batches
+    assert _read_batches(spark, os.path.join(tmp, "nowhere")) is None
+    os.makedirs(os.path.join(tmp, "empty"))
+    with pytest.raises(AnalysisException):
+        _read_batches(spark, os.path.join(tmp, "empty"))
