@@ -27,6 +27,7 @@ from shelfmark.operators.relate import (dedupe_by_key, explode_list, join_any_ke
 from shelfmark.plans import analytics as A
 from shelfmark.plans import catalog as C
 from shelfmark.plans import oracle as O
+from shelfmark.plans import raw_feeds as R
 from shelfmark.plans import star as S
 from shelfmark.plans.star import StarOptions, warehouse_tables
 from shelfmark.session import materialize, remove_path, scratch_path
@@ -791,3 +792,53 @@ FROM pub_lookup l LEFT JOIN dim_publisher_k p ON p.key = l.key GROUP BY ALL"""))
 def q_count_per_dim(spark, d):
     lookup = S.publisher_lookup(C.linked_books(spark, d), None)
     return A.books_per_publisher(lookup, S.build_publishers(lookup))
+
+
+# --------------------------------------------------------------------------- raw feeds (files written, read and built)
+
+_PRINT = "CAST(bib_num AS BIGINT) % 5 IN (0, 2, 4)"
+_RAW = {
+    "inventory": f"SELECT * FROM ({C.SQL_INVENTORY}) WHERE {_PRINT}",
+    "checkouts": f"SELECT * FROM ({C.SQL_CHECKOUTS}) WHERE {_PRINT}",
+    "external": f"SELECT * REPLACE (CAST(CAST(average_rating AS FLOAT) AS DOUBLE) AS average_rating) FROM ({C.SQL_EXTERNAL})",
+    "weather": f"SELECT * REPLACE (CAST(CAST(temperature AS FLOAT) AS DOUBLE) AS temperature) FROM ({C.SQL_WEATHER})",
+}
+
+
+@register("raw_feed_books", O.with_star("SELECT * FROM dim_book", **_RAW))
+def q_raw_feed_books(spark, d):
+    return R.raw_star_table(spark, d, "dim_book")
+
+
+@register("raw_feed_fact", O.with_star("SELECT * FROM fact_spl_book_checkout", **_RAW))
+def q_raw_feed_fact(spark, d):
+    return R.raw_star_table(spark, d, "fact_spl_book_checkout")
+
+
+@register("raw_feed_authors", O.with_star("SELECT * FROM dim_author", **_RAW))
+def q_raw_feed_authors(spark, d):
+    return R.raw_star_table(spark, d, "dim_author")
+
+
+@register("raw_name_map", """
+SELECT DISTINCT p_brand || ', the ' AS publisher, p_brand AS official_publisher FROM part""")
+def q_raw_name_map(spark, d):
+    return R.name_map(spark, d)
+
+
+@register("raw_gazetteer", "SELECT DISTINCT p_name AS publisher FROM part")
+def q_raw_gazetteer(spark, d):
+    return R.gazetteer(spark, d)
+
+
+@register("raw_json_maps", """
+SELECT DISTINCT event_type AS file_key, CAST(CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS VARCHAR) AS map_key,
+       event_type AS map_value FROM events""")
+def q_raw_json_maps(spark, d):
+    return R.json_map_files(spark, d)
+
+
+@register("warehouse_tables", O.with_star("""
+SELECT subject_id, name, count(*) AS n_books FROM br_book_subject JOIN dim_subject ON id = subject_id GROUP BY ALL"""))
+def q_warehouse_tables(spark, d):
+    return R.warehouse_round_trip(spark, d)
