@@ -7,6 +7,7 @@ to candidate pairs produced by a token join, never to a cross product.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,43 +61,50 @@ def best_ratio(a, b) -> Column:
     return F.greatest(edit_ratio(pa, pb), token_sort_ratio(pa, pb), token_set_ratio(pa, pb))
 
 
-def _jaro_winkler(s1: str | None, s2: str | None, prefix_weight: float = 0.1) -> float | None:
-    if s1 is None or s2 is None:
-        return None
-    if s1 == s2:
-        return 1.0
-    n1, n2 = len(s1), len(s2)
-    if n1 == 0 or n2 == 0:
-        return 0.0
-    window = max(max(n1, n2) // 2 - 1, 0)
-    used = [False] * n2
-    m1 = []
-    for i, ch in enumerate(s1):
-        lo, hi = max(0, i - window), min(n2, i + window + 1)
-        for j in range(lo, hi):
-            if not used[j] and s2[j] == ch:
-                used[j] = True
-                m1.append(ch)
-                break
-    m = len(m1)
-    if m == 0:
-        return 0.0
-    m2 = [s2[j] for j in range(n2) if used[j]]
-    # half the out-of-order matches, rounded down (the common library convention)
-    transpositions = sum(1 for x, y in zip(m1, m2) if x != y) // 2
-    jaro = (m / n1 + m / n2 + (m - transpositions) / m) / 3.0
-    if jaro <= 0.7:
-        return jaro
-    prefix = 0
-    for x, y in zip(s1[:4], s2[:4]):
-        if x != y:
-            break
-        prefix += 1
-    return jaro + prefix * prefix_weight * (1.0 - jaro)
+def _codes(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(n, longest) code points, 0 where a text has ended, and the lengths."""
+    size = texts.str.len().to_numpy(dtype=np.int64)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4")
+    out = np.zeros((len(texts), max(int(size.max(initial=0)), 1)), dtype=np.uint32)
+    out[np.arange(out.shape[1]) < size[:, None]] = flat
+    return out, size
+
+
+def jaro_winkler_scores(a: pd.Series, b: pd.Series, prefix_weight: float = 0.1) -> np.ndarray:
+    """Jaro-Winkler of each pair of texts; the loop is over character places, not over pairs."""
+    (x, nx), (y, ny) = _codes(a), _codes(b)
+    n, wide = len(x), y.shape[1]
+    window = np.maximum(np.maximum(nx, ny) // 2 - 1, 0)
+    place = np.arange(wide)
+    used = np.zeros(y.shape, dtype=bool)
+    took = np.zeros(x.shape, dtype=bool)
+    rows = np.arange(n)
+    for i in range(x.shape[1]):
+        near = (np.abs(place - i) <= window[:, None]) & (place < ny[:, None]) & (i < nx)[:, None]
+        free = near & ~used & (y == x[:, i:i + 1])
+        hit = free.any(axis=1)
+        used[rows[hit], free[hit].argmax(axis=1)] = True
+        took[hit, i] = True
+    m = took.sum(axis=1)
+    # the k-th matched character of either side, next to each other: both lists have the same lengths
+    differ = x[took] != y[used]
+    swaps = np.bincount(np.repeat(rows, m), differ, n).astype(np.int64) // 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        jaro = (m / nx + m / ny + (m - swaps) / m) / 3.0
+    jaro = np.where(m == 0, 0.0, jaro)
+    width = min(4, x.shape[1], wide)
+    same = (x[:, :width] == y[:, :width]) & (x[:, :width] != 0)
+    prefix = np.cumprod(same, axis=1).sum(axis=1)
+    score = np.where(jaro > 0.7, jaro + prefix * prefix_weight * (1.0 - jaro), jaro)
+    return np.where((a == b).to_numpy(), 1.0, score)
 
 
 @F.pandas_udf(T.DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity 0..1 (prefix weight 0.1, up to 4 characters,
-    boost only above 0.7)."""
-    return pd.Series([_jaro_winkler(x, y) for x, y in zip(a.tolist(), b.tolist())], dtype="float64")
+    boost only above 0.7); NULL where either text is."""
+    known = (a.notna() & b.notna()).to_numpy()
+    out = pd.Series(np.nan, index=a.index, dtype="float64").astype(object).where(known, None)
+    if known.any():
+        out[known] = jaro_winkler_scores(a[known].reset_index(drop=True), b[known].reset_index(drop=True))
+    return out.astype("Float64")

@@ -77,3 +77,9 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a written intermediate, wherever the shared folder lives."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate when the driver ends; a lazy result may still read it until then."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)

@@ -1,6 +1,6 @@
 """Fuzzy matching: the documented examples and the cutoff."""
 
-from shelfmark.functions.similarity import _jaro_winkler
+from shelfmark.functions.similarity import jaro_winkler
 from shelfmark.operators import match
 
 GAZ = ["Bloomsbury Publishing", "HarperCollins", "Random House", "Elsevier", "Crown Publishing Group",
@@ -38,10 +38,23 @@ def test_cutoff_is_inclusive(spark):
     assert match.best_match(df, 89).count() == 1 and match.best_match(df, 90).count() == 0
 
 
-def test_jaro_winkler_known_values():
-    assert abs(_jaro_winkler("martha", "marhta") - 0.961111) < 1e-6
-    assert _jaro_winkler("", "abc") == 0.0 and _jaro_winkler("abc", "abc") == 1.0
-    assert _jaro_winkler(None, "a") is None
+def test_jaro_winkler_matches_duckdb(spark):
+    import random
+
+    import duckdb
+
+    rng = random.Random(4)
+    text = lambda: "".join(rng.choice("abcdé 😀") for _ in range(rng.randint(0, 12)))
+    pairs = [("martha", "marhta"), ("", "abc"), ("abc", "abc"), ("", ""), (None, "a"), ("dixon", "dicksonx"), ("a", "b")]
+    pairs += [(text().encode("ascii", "ignore").decode(), text().encode("ascii", "ignore").decode()) for _ in range(200)]
+    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", jaro_winkler("a", "b").alias("s")).collect()
+    con = duckdb.connect()
+    for r in got:
+        if r.a is None:
+            assert r.s is None
+            continue
+        want = 1.0 if r.a == r.b else con.execute("SELECT jaro_winkler_similarity(?, ?)", [r.a, r.b]).fetchone()[0]
+        assert abs(r.s - want) < 1e-9, (r.a, r.b)
 
 
 def test_duplicate_clusters_no_pairs(spark):
