@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.llm import decontaminate, line_dedup, near_dup, packing, quality_rules
-from shelfmark.llm.frames import documents, written
+from shelfmark.llm.frames import documents, scratch_scope, written
 from shelfmark.llm.queries_rows import tokenizer_path
 
 
@@ -51,5 +51,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_scope(spark):  # a stage's own tables go when its result is written
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -10,11 +10,25 @@ input columns of any other name cannot clash with them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfmark.session import scratch_path
+from shelfmark.session import remove_at_exit, remove_path, scratch_path
 
 NULL_ID = 2**63 - 1
+_made: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are removed at the end, but for the last one."""
+    start = len(_made)
+    yield
+    for path in _made[start:-1]:
+        remove_path(spark, path)
+    del _made[start:-1]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +65,8 @@ def written(df: DataFrame, name: str, partition_by: str | None = None, narrow: b
     path = scratch_path(spark, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
+    _made.append(path)
+    remove_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
