@@ -47,6 +47,7 @@ KNOWN = 100_000
 SLOTS = 1 << 20
 ROUNDS = 1
 MINI_BATCH = 8192
+LONG_RUN = 32  # rows of one feature in a mini-batch that are summed on their own
 RATE = 0.3
 END_HASH = np.uint64(0x1D8E4E27C47D124F)
 KEY = ["_id", "_th"]
@@ -193,19 +194,36 @@ def class_log(model: Model, rows: np.ndarray, weights: np.ndarray, y: np.ndarray
     return z[np.arange(len(y)), y] - np.log(total)
 
 
+def _row_sums(grad: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, how often each occurs, the sum of its rows of ``grad``).
+    Keys go from the most frequent down, so the d-th rows of all keys that have one are added as one block."""
+    order = np.argsort(keys.astype(np.int16), kind="stable")  # FEATURE_ROWS is below 2^15
+    mine = keys[order]
+    head = np.flatnonzero(np.diff(mine, prepend=-1))
+    times = np.diff(np.append(head, len(mine)))
+    down = np.argsort(-times, kind="stable")
+    head, times = head[down], times[down]
+    out = grad.take(order[head], axis=0)
+    long = int(np.count_nonzero(times > LONG_RUN))
+    for k in range(long):
+        out[k] = grad.take(order[head[k]:head[k] + times[k]], axis=0).sum(axis=0)
+    for d in range(1, LONG_RUN):
+        n = int(np.count_nonzero(times > d))
+        if n <= long:
+            break
+        out[long:n] += grad.take(order[head[long:n] + d], axis=0)
+    return mine[head], times, out
+
+
 def _update(model: Model, weights: np.ndarray, size: np.ndarray, used: np.ndarray, rows: np.ndarray, y: np.ndarray) -> None:
     """One mini-batch: gradient of the log loss, scaled by each row's gradient size so far."""
     _, grad, total = _odds(model, rows, weights)
     grad /= total[:, None]
     grad[np.arange(len(y)), y] -= 1
     for j in range(rows.shape[1]):
-        order = np.argsort(rows[:, j].astype(np.int16), kind="stable")  # FEATURE_ROWS is below 2^15
-        mine = rows[order, j]
-        head = np.flatnonzero(np.diff(mine, prepend=-1))
-        summed = np.add.reduceat(grad[order], head, axis=0)
-        at = mine[head]
+        at, times, summed = _row_sums(grad, rows[:, j])
         size[at] += (summed * summed).mean(axis=1)
-        used[at] += np.diff(np.append(head, len(mine)))
+        used[at] += times
         weights[at] -= RATE / np.sqrt(size[at] + 1)[:, None] * summed
 
 

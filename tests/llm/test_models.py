@@ -137,3 +137,14 @@ def test_lm_probabilities_sum_to_one(spark):
         inside = np.array([r["_c"] + 0.5 for r in vocabulary]) / 10 ** model.log_mass[model.classes(words)]
         unknown = (p_class * 0.5 / 10 ** model.log_mass).sum()
         assert abs((p_class[model.classes(words)] * inside).sum() + unknown - 1) < 1e-5
+
+
+def test_gradient_rows_are_summed_whole():
+    rng = np.random.default_rng(5)
+    keys = np.concatenate([rng.integers(0, 40, 300), np.full(lm_score.LONG_RUN, 50), np.full(lm_score.LONG_RUN + 1, 51), [99]])
+    grad = rng.normal(size=(len(keys), 3)).astype(np.float32)
+    at, times, summed = lm_score._row_sums(grad, keys)
+    assert sorted(at) == sorted(set(keys))
+    for key, n, row in zip(at, times, summed):
+        assert n == (keys == key).sum()
+        assert np.allclose(row, grad[keys == key].sum(axis=0), atol=1e-4)
