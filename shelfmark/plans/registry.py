@@ -343,18 +343,28 @@ def q_map_or_raw(spark, d):
     return map_or_raw(raw, "raw_name", name_map, "publisher", "official_publisher", "publisher")
 
 
+# four ways to write a publisher, dealt by book number
+_SQL_SPELLINGS = """CASE CAST(bib_num AS BIGINT) % 4 WHEN 0 THEN raw_publisher WHEN 1 THEN upper(raw_publisher)
+                    WHEN 2 THEN raw_publisher || ' (reprint)' ELSE replace(raw_publisher, '#', ' # ') END"""
+
+
 @register("dedupe_pairs", f"""
-WITH inv AS ({C.SQL_INVENTORY}),
-k AS (SELECT raw_publisher AS name, {O.normalize('raw_publisher')} AS key FROM inv),
+WITH inv AS (SELECT {_SQL_SPELLINGS} AS spelling FROM ({C.SQL_INVENTORY})),
+k AS (SELECT spelling AS name, {O.normalize('spelling')} AS key FROM inv),
 tot AS (SELECT count(*)::DOUBLE AS t FROM k WHERE key IS NOT NULL),
-sizes AS (SELECT key, count(*) AS cluster_rows, count(DISTINCT name) AS cluster_names FROM k
-          WHERE key IS NOT NULL GROUP BY key),
-names AS (SELECT name, key, count(*) AS name_rows FROM k WHERE key IS NOT NULL GROUP BY name, key)
-SELECT n.name, n.key, n.name_rows, s.cluster_rows, s.cluster_names,
-       round(-log2(s.cluster_rows / (SELECT t FROM tot)), 6) AS tf_weight
-FROM names n JOIN sizes s ON n.key = s.key""")
+names AS (SELECT name, key, count(*) AS name_rows FROM k WHERE key IS NOT NULL GROUP BY name, key),
+sizes AS (SELECT key, sum(name_rows)::BIGINT AS cluster_rows, count(*) AS cluster_names FROM names GROUP BY key),
+reps AS (SELECT key, name AS representative FROM names
+         QUALIFY row_number() OVER (PARTITION BY key ORDER BY name_rows DESC, name) = 1),
+j AS (SELECT n.name, n.key, n.name_rows, s.cluster_rows, s.cluster_names, r.representative,
+             {_sql_ratio('n.name', 'r.representative')} AS similarity,
+             -log2(s.cluster_rows / (SELECT t FROM tot)) AS tf
+      FROM names n JOIN sizes s ON n.key = s.key JOIN reps r ON r.key = n.key)
+SELECT name, key, name_rows, cluster_rows, cluster_names, representative, similarity, round(tf, 6) AS tf_weight,
+       round(tf * similarity / 100, 6) AS match_weight FROM j""")
 def q_dedupe_pairs(spark, d):
-    return match.duplicate_clusters(C.inventory(spark, d), "raw_publisher", normalize_text("raw_publisher"))
+    inventory = C.inventory(spark, d).withColumn("spelling", F.expr(_SQL_SPELLINGS))
+    return match.duplicate_clusters(inventory, "spelling", normalize_text("spelling"))
 
 
 @register("never_referenced", O.with_star("""

@@ -83,3 +83,13 @@ def remove_at_exit(spark: SparkSession, path: str) -> None:
     """Delete a written intermediate when the driver ends; a lazy result may still read it until then."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: the work above is
+    done once (a checkpoint does it twice) and later plans know its size."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    remove_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
