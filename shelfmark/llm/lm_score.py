@@ -130,6 +130,21 @@ class Model:
         return np.where(hit, self.slot_count[slot], 0), hit
 
 
+def most_frequent(words: DataFrame, number: int) -> DataFrame:
+    """About ``number`` words (_word, _c) of the highest counts, without a sort through one task: counts fall into
+    steps of an eighth of an octave (some 500 at most), whole steps are taken from the top,
+    and of the step that does not fit a share by the word's hash."""
+    step = F.floor(F.log2("_c") * 8).cast("int")
+    lowest, share, left = 0, 1.0, number
+    for r in sorted(words.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        lowest, share = r["s"], min(1.0, left / r["n"])
+        left -= r["n"]
+        if left < 0:
+            break
+    part = F.shiftrightunsigned("_word", 44)  # not the bits that name a slot
+    return words.where((step > lowest) | ((step == lowest) & (part < share * 2**20))).select("_word", "_c")
+
+
 def counted_model(counts: DataFrame) -> Model:
     """A model with exact counts and untrained weights."""
     end = int(END_HASH.astype(np.int64))
@@ -149,10 +164,11 @@ def counted_model(counts: DataFrame) -> Model:
     mass[empty] = 0.5
     share = mass / mass.sum()
     slots, slot_count = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int64)
-    known = frequent.limit(KNOWN).select("_word", "_c").toArrow()
-    w = known["_word"].to_numpy().view(np.uint64)[::-1]  # the more frequent of two words in a slot stays
-    slots[w & np.uint64(SLOTS - 1)] = w
-    slot_count[w & np.uint64(SLOTS - 1)] = known["_c"].to_numpy()[::-1]
+    known = most_frequent(counts.where(F.col("_word") != end), KNOWN).toArrow()
+    w, c = known["_word"].to_numpy().view(np.uint64), known["_c"].to_numpy()
+    rising = np.lexsort((w, c))  # the more frequent of two words in a slot stays
+    slots[w[rising] & np.uint64(SLOTS - 1)] = w[rising]
+    slot_count[w[rising] & np.uint64(SLOTS - 1)] = c[rising]
     end_count = counts.where(F.col("_word") == end).agg(F.sum("_c")).first()[0] or 0
     place = int(END_HASH & np.uint64(SLOTS - 1))
     slots[place], slot_count[place] = END_HASH, end_count

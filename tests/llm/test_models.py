@@ -148,3 +148,16 @@ def test_gradient_rows_are_summed_whole():
     for key, n, row in zip(at, times, summed):
         assert n == (keys == key).sum()
         assert np.allclose(row, grad[keys == key].sum(axis=0), atol=1e-4)
+
+
+def test_most_frequent_words_are_taken_from_the_top(spark):
+    rng = np.random.default_rng(9)
+    words = rng.integers(-2**62, 2**62, 5000)
+    counts = rng.zipf(1.3, 5000).clip(max=10**6)
+    table = spark.createDataFrame(list(zip(words.tolist(), counts.tolist())), "_word bigint, _c bigint")
+    got = {r["_word"]: r["_c"] for r in lm_score.most_frequent(table, 500).collect()}
+    assert 400 <= len(got) <= 600
+    missed = [c for w, c in zip(words.tolist(), counts.tolist()) if w not in got]
+    assert max(missed) <= 2 ** 0.125 * min(got.values()) + 1
+    assert lm_score.most_frequent(table, 10**6).count() == 5000
+    assert lm_score.most_frequent(table.limit(0), 10).count() == 0
