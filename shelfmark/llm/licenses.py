@@ -3,17 +3,24 @@
 A licence notice is found in a text by aligning words: anchors are the words
 that occur once in both sides; the longest increasing run of anchors is kept, the
 gaps between neighbouring anchors are aligned in the same way, and ends that
-match word by word are added.  Coverage is the share of the notice's words
-that are aligned.  A text is searched in overlapping windows of twice the
-notice's length, so repeated notices and notices in long texts are aligned
-where they stand.
+match word by word are added.  Where that pairs fewer words than the longest common subsequence has (no
+anchors, or anchors that cross), the latter is the alignment.  Coverage is the share of the notice's
+words that are aligned.
 
-Only windows that could reach MIN_COVERAGE are aligned: at least that
-share of the notice's words must occur in the text, and then in the window.
-The bound is exact, so nothing is lost.  Work is per row (Arrow batches), without a shuffle.
+A place of a notice is a stretch of the text of at most SPREAD times the notice's
+length whose alignment covers at least MIN_COVERAGE.  Stretches start at an
+occurrence of one of the notice's first words, wherever it stands, and end where
+the longest common subsequence with the notice (counted bit-parallel) stops growing, so words put between those of the
+notice neither cut it nor change its coverage.  The best place is taken first (coverage, then
+fewer words spanned, then the earlier one), and the text on both its sides is searched on.
+
+Three bounds leave out work and no place: a share MIN_COVERAGE of the notice's words must occur in
+the text; a place begins with a word that leaves enough of the notice; and a window gains at most the notice's
+words that enter it.  Work is per row (Arrow batches), without a shuffle.
 
 Defined cases: null, empty and licence-free texts give a null licence and coverage 0;
-of equal coverages the longer notice and then the smaller name wins; repeated rows are scanned alike.
+of equal coverages the longer notice and then the smaller name wins; repeated rows are scanned alike;
+a notice whose words stand further apart than SPREAD allows is not counted as that notice.
 """
 
 from __future__ import annotations
@@ -22,11 +29,13 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 MIN_COVERAGE = 0.8
+SPREAD = 3  # a place has at most so many times the notice's words
 
 #: Public licence notices, by a short name.
 NOTICES = {
@@ -76,6 +85,24 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return run[::-1]
 
 
+def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Longest common subsequence, as pairs."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    out, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Increasing pairs (i, j) with a[i] == b[j] by patience alignment."""
     out: list[tuple[int, int]] = []
@@ -101,34 +128,76 @@ def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _needed(m: int, min_coverage: float) -> int:
+    return next((k for k in range(1, m + 1) if k / m >= min_coverage), m + 1)
+
+
+def places(words: list[str], notice: list[str], min_coverage: float = MIN_COVERAGE, spread: float = SPREAD):
+    """[(coverage, first word, words spanned)] of all places of the notice that do not overlap, in the order of the text."""
+    m = len(notice)
+    need = _needed(m, min_coverage)
+    masks = {w: sum(1 << i for i, v in enumerate(notice) if v == w) for w in set(notice)}
+    heads = set(notice[:m - need + 1])  # the first aligned word leaves ``need`` words from it on
+    at = [i for i, w in enumerate(words) if w in masks]
+    bits = [masks[words[i]] for i in at]
+    full, width = (1 << m) - 1, max(m, int(spread * m))
+
+    def longest(k: int, stop: int) -> tuple[int, int]:
+        """(words in common, place after the last of them) of the stretch from at[k], below at[stop]."""
+        free, length, end = full, 0, at[k]
+        for j in range(k, stop):
+            hit = free & bits[j]
+            if hit:
+                free = ((free + hit) | (free - hit)) & full
+                now = m - free.bit_count()
+                if now > length:
+                    length, end = now, at[j] + 1
+                    if now == m:
+                        break
+        return length, end
+
+    heap, limit, seen = [], 0, 0  # limit: no more words in common than this, for a window that ends at hit ``seen``
+    stop = 0
+    for k, start in enumerate(at):
+        while stop < len(at) and at[stop] < start + width:
+            stop += 1
+        if words[start] not in heads or stop - k < need or seen and limit + stop - seen < need:
+            continue
+        limit, end = longest(k, stop)
+        seen = stop
+        if limit >= need:
+            heap.append((-limit, end - start, start, k))
+    heapify(heap)
+    taken: list[tuple[int, int, int]] = []  # (first word, place after the last, words aligned), sorted
+    while heap:
+        low, span, start, k = heappop(heap)
+        after = bisect_left(taken, (start + 1,))
+        if after and taken[after - 1][1] > start:
+            continue
+        if after < len(taken) and taken[after][0] < start + span:
+            length, end = longest(k, bisect_left(at, taken[after][0]))
+            if length >= need:
+                heappush(heap, (-length, end - start, start, k))
+            continue
+        stretch = words[start:start + span]
+        pairs = aligned(stretch, notice)
+        if len(pairs) < -low:
+            pairs = _common(stretch, notice)
+        taken.insert(after, (start + pairs[0][0], start + pairs[-1][0] + 1, len(pairs)))
+    return [(n / m, start, end - start) for start, end, n in taken]
+
+
 def best_match(text: str, notices: dict[str, list[str]], min_coverage: float = MIN_COVERAGE):
     """(name, coverage, first word, words spanned) of the best notice, or None."""
     words = words_of(text)
     known = set(words)
-    best = None
-    for name, notice in notices.items():
-        need = min_coverage * len(notice)
-        if sum(w in known for w in notice) < need:
-            continue
-        wanted, m = set(notice), len(notice)
-        at = [i for i, w in enumerate(words) if w in wanted]
-        tried = set()
-        for i in at:
-            start = i // m * m
-            if start in tried:
-                continue
-            tried.add(start)
-            window = words[start:start + 2 * m]  # holds every stretch of m words that begins in its first half
-            here = set(window)
-            if sum(w in here for w in notice) < need:
-                continue
-            pairs = aligned(window, notice)
-            coverage = len(pairs) / m
-            if coverage >= min_coverage:
-                rank = (-coverage, -m, name, start + pairs[0][0])
-                if best is None or rank < best[0]:
-                    best = rank, (name, coverage, start + pairs[0][0], pairs[-1][0] - pairs[0][0] + 1)
-    return best and best[1]
+    found = [(-coverage, -len(notice), name, first, span) for name, notice in notices.items()
+             if sum(w in known for w in notice) >= _needed(len(notice), min_coverage)
+             for coverage, first, span in places(words, notice, min_coverage)]
+    if not found:
+        return None
+    coverage, _, name, first, span = min(found)
+    return name, -coverage, first, span
 
 
 def scan(docs: DataFrame, notices: dict[str, str] | None = None, min_coverage: float = MIN_COVERAGE,

@@ -149,3 +149,37 @@ def test_windows_lose_no_notice():
         text = " ".join(WORDS[i % 12] for i in range(k)) + " " + licenses.NOTICES["gpl-3.0"] + " the end"
         found = licenses.best_match(text, {"gpl": notice})
         assert found == ("gpl", 1.0, k, len(notice))
+
+
+@pytest.mark.parametrize("name", ["gpl-3.0", "gpl-3.0-header", "mit"])
+def test_inserted_words_do_not_hide_a_notice(name):
+    notice = licenses.words_of(licenses.NOTICES[name])
+    m = len(notice)
+    for before in range(0, 2 * m + 1, max(1, m // 12)):  # every way to lie in a grid of m words
+        lead = [WORDS[i % 12] for i in range(before)]
+        inserted = [WORDS[i % 12] for i in range(m)]
+        texts = [notice[:cut] + inserted + notice[cut:] for cut in range(1, m)]  # one clause
+        texts += [[w for k, v in enumerate(notice) for w in (["rem"] * (k % step == 1) + [v])] for step in (2, 3, 5)]  # line prefixes
+        for text in texts:
+            whole = lead + text + ["the", "end"]
+            assert len(licenses.aligned(whole, notice)) == m
+            found = licenses.best_match(" ".join(whole), {name: notice})
+            assert found == (name, 1.0, before, len(text)), (before, text)
+
+
+def test_places_by_brute_force():
+    import random
+    rng = random.Random(5)
+    notice = "a b c a d e f b".split()
+    for _ in range(300):
+        words = rng.choices("abcdefxyz", k=rng.randrange(60))
+        got, left = licenses.places(words, notice, 0.75, 2), [(0, len(words))]
+        want = []
+        while left:  # the best stretch of all, then what lies on both its sides
+            low, high = left.pop()
+            found = [(-len(licenses._common(words[i:j], notice)), j - i, i) for i in range(low, high) for j in range(i + 1, min(high, i + 16) + 1)]
+            n, span, i = min(found, default=(0, 0, 0))
+            if -n >= 6:
+                want.append((-n / 8, i, span))
+                left += [(low, i), (i + span, high)]
+        assert got == sorted(want, key=lambda x: x[1])
