@@ -14,8 +14,11 @@ the longest common subsequence with the notice (counted bit-parallel) stops grow
 notice neither cut it nor change its coverage.  The best place is taken first (coverage, then
 fewer words spanned, then the earlier one), and the text on both its sides is searched on.
 
-Three bounds leave out work and no place: a share MIN_COVERAGE of the notice's words must occur in
-the text; a place begins with a word that leaves enough of the notice; and a window gains at most the notice's
+Every notice is returned at every place; of overlapping ones the best decides.  VERSIONS
+names the other versions of each family, since a notice of another version can reach MIN_COVERAGE too.
+
+Bounds leave out work and no place: a share MIN_COVERAGE of the notice's words must occur in the text, so
+one of its rarest words does; a place begins with a word that leaves enough of the notice; and a window gains at most the notice's
 words that enter it.  Work is per row (Arrow batches), without a shuffle.
 
 Defined cases: null, empty and licence-free texts give a null licence and coverage 0;
@@ -60,6 +63,52 @@ NOTICES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+
+def _gnu(what: str, licence: str, version: str, later: bool = True) -> str:
+    version += "" if version == "1" else " of the License"
+    return (f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {licence} "
+            "as published by the Free Software Foundation, " +
+            (f"either version {version}, or (at your option) any later version." if later else f"version {version}."))
+
+
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+_CC = {"by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nc": "Attribution-NonCommercial", "by-nd": "Attribution-NoDerivatives",
+       "by-nc-sa": "Attribution-NonCommercial-ShareAlike", "by-nc-nd": "Attribution-NonCommercial-NoDerivatives"}
+_CC_FORM = {"1.0": "Generic", "2.0": "Generic", "2.5": "Generic", "3.0": "Unported", "4.0": "International"}
+
+#: The other versions of these families, so that the best one decides.
+VERSIONS = {
+    "0bsd": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "agpl-3.0-header": _gnu("program", _AGPL, "3"),
+    "agpl-3.0-only-header": _gnu("program", _AGPL, "3", later=False),
+    **{f"apache-{v}": f"Licensed under the Apache License, Version {v}." for v in ("1.0", "1.1")},
+    "apache-1.1-software": "Licensed under the Apache Software License, Version 1.1.",
+    "apache-released": "Released under the Apache License.",
+    "bsd-3-clause-text": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                         "products derived from this software without specific prior written permission",
+    "bsd-4-clause-text": "All advertising materials mentioning features or use of this software must display the following acknowledgement",
+    **{f"bsd-{n}-clause": f"Released under the BSD {n}-Clause License." for n in (2, 3, 4)},
+    "bsd-released": "Released under the BSD License.",
+    "cc0-1.0": "Licensed under CC0 1.0.",
+    "cc0-1.0-text": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    **{f"cc-{k}-{v}-short": f"Licensed under CC {k.upper()} {v}." for k in _CC for v in _CC_FORM if (k, v) not in {("by-nc", "4.0"), ("by-sa", "4.0")}},
+    **{f"cc-{k}-{v}-text": f"This work is licensed under a Creative Commons {name if v == '4.0' else name.replace('Derivatives', 'Derivs')} {v} {form} License."
+       for k, name in _CC.items() for v, form in _CC_FORM.items() if (k, v) != ("by", "4.0")},
+    **{f"gpl-{v}": f"This work is licensed under the GNU General Public License, version {v[0]}." for v in ("1.0", "2.0")},
+    **{f"gpl-{v}-header": _gnu("program", _GPL, v[0]) for v in ("1.0", "2.0")},
+    **{f"gpl-{v}-only-header": _gnu("program", _GPL, v[0], later=False) for v in ("1.0", "2.0", "3.0")},
+    "isc-released": "Released under the ISC License.",
+    **{f"lgpl-{v}": f"This work is licensed under the GNU Lesser General Public License, version {n}." for v, n in (("2.1", "2.1"), ("3.0", "3"))},
+    "lgpl-2.0": "This work is licensed under the GNU Library General Public License, version 2.",
+    "lgpl-2.0-header": _gnu("library", "Library General Public License", "2"),
+    "lgpl-2.0-only-header": _gnu("library", "Library General Public License", "2", later=False),
+    **{f"lgpl-{v}-header": _gnu("library", _LGPL, n) for v, n in (("2.1", "2.1"), ("3.0", "3"))},
+    **{f"lgpl-{v}-only-header": _gnu("library", _LGPL, n, later=False) for v, n in (("2.1", "2.1"), ("3.0", "3"))},
+    **{f"mpl-{v}": f"The contents of this file are subject to the Mozilla Public License Version {v} (the \"License\"); you may not use "
+                   "this file except in compliance with the License." for v in ("1.0", "1.1")},
+}
+
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 
 
@@ -187,34 +236,75 @@ def places(words: list[str], notice: list[str], min_coverage: float = MIN_COVERA
     return [(n / m, start, end - start) for start, end, n in taken]
 
 
-def best_match(text: str, notices: dict[str, list[str]], min_coverage: float = MIN_COVERAGE):
-    """(name, coverage, first word, words spanned) of the best notice, or None."""
+def _by_key(notices: dict[str, list[str]], min_coverage: float) -> dict[str, list[str]]:
+    """Names by the words of which a text with the notice must hold one: the rarest, one more than may be missing."""
+    shared = Counter(w for notice in notices.values() for w in set(notice))
+    out: dict[str, list[str]] = {}
+    for name, notice in notices.items():
+        may_miss = len(notice) - _needed(len(notice), min_coverage)
+        for word, n in sorted(Counter(notice).items(), key=lambda x: (shared[x[0]], -len(x[0]), x[0])):
+            out.setdefault(word, []).append(name)
+            may_miss -= n
+            if may_miss < 0:
+                break
+    return out
+
+
+def matches(text: str, notices: dict[str, list[str]], min_coverage: float = MIN_COVERAGE, by_key: dict[str, list[str]] | None = None):
+    """[(name, coverage, first word, words spanned, decides)] of all notices at all their places, the best first.
+
+    ``decides`` marks those that overlap no better one that decides.
+    """
+    by_key = _by_key(notices, min_coverage) if by_key is None else by_key
     words = words_of(text)
     known = set(words)
-    found = [(-coverage, -len(notice), name, first, span) for name, notice in notices.items()
-             if sum(w in known for w in notice) >= _needed(len(notice), min_coverage)
-             for coverage, first, span in places(words, notice, min_coverage)]
-    if not found:
-        return None
-    coverage, _, name, first, span = min(found)
-    return name, -coverage, first, span
+    found = []
+    for name in {name for w in by_key.keys() & known for name in by_key[w]}:
+        notice = notices[name]
+        if sum(w in known for w in notice) >= _needed(len(notice), min_coverage):
+            found += [(-coverage, -len(notice), name, first, span) for coverage, first, span in places(words, notice, min_coverage)]
+    out, won = [], []  # won: (first word, place after the last) of those that decide, sorted
+    for coverage, _, name, first, span in sorted(found):
+        after = bisect_left(won, (first + span,))
+        decides = not after or won[after - 1][1] <= first
+        if decides:
+            won.insert(after, (first, first + span))
+        out.append((name, -coverage, first, span, decides))
+    return out
+
+
+def best_match(text: str, notices: dict[str, list[str]], min_coverage: float = MIN_COVERAGE):
+    """(name, coverage, first word, words spanned) of the best notice, or None."""
+    found = matches(text, notices, min_coverage)
+    return found[0][:4] if found else None
+
+
+_MATCH = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("first_word", pa.int64()), ("n_words_spanned", pa.int64()),
+                    ("decides", pa.bool_())])
 
 
 def scan(docs: DataFrame, notices: dict[str, str] | None = None, min_coverage: float = MIN_COVERAGE,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(<id_col>, license, coverage, first_word, n_words_spanned), one row per input row."""
-    split = {name: words_of(text) for name, text in sorted((notices or NOTICES).items()) if words_of(text)}
+    """(<id_col>, license, coverage, first_word, n_words_spanned, matches), one row per input row.
+
+    ``matches`` holds every notice at every place whose coverage reaches the bound, the best first; the columns before it are its first entry.
+    """
+    split = {name: words_of(text) for name, text in sorted((notices or NOTICES | VERSIONS).items()) if words_of(text)}
+    by_key = _by_key(split, min_coverage)
+    fields = _MATCH.names
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("_text")
-            rows = [(best_match(t.as_py(), split, min_coverage) if t.is_valid else None) or (None, 0.0, None, None) for t in texts]
-            name, coverage, first, span = zip(*rows) if rows else ([], [], [], [])
+            found = [matches(t.as_py(), split, min_coverage, by_key) if t.is_valid else [] for t in batch.column("_text")]
+            best = [f[0][:4] if f else (None, 0.0, None, None) for f in found]
+            name, coverage, first, span = zip(*best) if best else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col), pa.array(name, pa.string()), pa.array(coverage, pa.float64()),
-                 pa.array(first, pa.int64()), pa.array(span, pa.int64())],
-                names=[id_col, "license", "coverage", "first_word", "n_words_spanned"])
+                 pa.array(first, pa.int64()), pa.array(span, pa.int64()),
+                 pa.array([[dict(zip(fields, m)) for m in f] for f in found], pa.list_(_MATCH))],
+                names=[id_col, "license", "coverage", "first_word", "n_words_spanned", "matches"])
 
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
     kind = dict(rows.dtypes)[id_col]
-    return rows.mapInArrow(look, f"`{id_col}` {kind}, license string, coverage double, first_word bigint, n_words_spanned bigint")
+    return rows.mapInArrow(look, f"`{id_col}` {kind}, license string, coverage double, first_word bigint, n_words_spanned bigint, "
+                           "matches array<struct<license:string,coverage:double,first_word:bigint,n_words_spanned:bigint,decides:boolean>>")

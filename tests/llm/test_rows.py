@@ -183,3 +183,46 @@ def test_places_by_brute_force():
                 want.append((-n / 8, i, span))
                 left += [(low, i), (i + span, high)]
         assert got == sorted(want, key=lambda x: x[1])
+
+
+def test_every_notice_at_every_place(spark):
+    n = licenses.NOTICES | licenses.VERSIONS
+    filler = passage(9, 30)
+    parts = [n["gpl-3.0"], filler, n["cc-by-nc-4.0"], filler, n["mit-text"], filler, n["gpl-3.0"], n["gpl-3.0"]]
+    texts = {1: "\n".join(parts), 2: filler, 3: None, 4: "\n".join(f"{t}\n{filler}" for t in n.values())}
+    out = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
+    at, want = 0, []
+    for part in parts:
+        size = len(licenses.words_of(part))
+        if part != filler:
+            want.append((next(k for k, v in n.items() if v == part), 1.0, at, size))
+        at += size
+    sure = [m[:4] for m in out[1]["matches"] if m["decides"]]
+    assert sorted(sure, key=lambda m: m[2]) == want
+    assert all(m["coverage"] >= licenses.MIN_COVERAGE for m in out[1]["matches"])
+    assert out[1]["matches"][0][:4] == (out[1]["license"], out[1]["coverage"], out[1]["first_word"], out[1]["n_words_spanned"])
+    assert out[2]["matches"] == [] and out[3]["matches"] == [] and out[3]["license"] is None
+    assert {m["license"] for m in out[4]["matches"] if m["decides"]} == set(n)
+
+
+def test_the_best_version_decides():
+    split = {name: licenses.words_of(t) for name, t in (licenses.NOTICES | licenses.VERSIONS).items()}
+    assert len(set(map(tuple, split.values()))) == len(split)
+    gpl2 = ("This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as\n"
+            "# published by the Free Software Foundation; either version 2 of the\n# License, or (at your option) any later version.")
+    found = licenses.matches(gpl2, split)
+    assert found[0][:2] == ("gpl-2.0-header", 1.0) and "gpl-3.0-header" in [m[0] for m in found]
+    assert [m[0] for m in found if m[4]] == ["gpl-2.0-header"]
+    for text, name in [("Licensed under CC BY-SA 3.0.", "cc-by-sa-3.0-short"), ("Released under the BSD License.", "bsd-released"),
+                       (gpl2.replace("program", "library").replace("General", "Lesser General").replace("version 2 ", "version 2.1 "), "lgpl-2.1-header")]:
+        assert licenses.best_match(text, split)[:2] == (name, 1.0)
+
+
+def test_rare_words_skip_no_notice():
+    import random
+    rng = random.Random(3)
+    split = {name: licenses.words_of(t) for name, t in (licenses.NOTICES | licenses.VERSIONS).items()}
+    every = {w: list(split) for notice in split.values() for w in notice}
+    for _ in range(60):
+        words = [w for t in rng.sample(sorted(split), 3) for w in split[t] if rng.random() < 0.9]
+        assert licenses.matches(" ".join(words), split) == licenses.matches(" ".join(words), split, by_key=every)
