@@ -152,15 +152,15 @@ def predict(model: Model, piece: bw.Piece) -> tuple[np.ndarray, np.ndarray]:
 # ---- Spark -------------------------------------------------------------------
 
 def training_sample(docs: DataFrame, learn: Column, lang_col: str, text_col: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """At most ``rows`` rows (lang, _text), as even over languages as their numbers allow."""
+    """At most ``rows`` rows (lang, _text), as even over languages as their numbers of different texts allow; none is there twice."""
     usable = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("_text"))
-    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows).collect()
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("_text")).withColumn("_h", F.xxhash64("_text"))
+    sizes = usable.select("lang", "_h").distinct().groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows).collect()
     cap = max(1, rows // max(len(sizes), 1))
     fraction = F.lit(0.0)
     for r in sizes:
         fraction = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, (1.3 * cap + 30) / r["count"]))).otherwise(fraction)
-    drawn = usable.withColumn("_h", F.xxhash64("_text")).where(F.pmod("_h", F.lit(1_000_003)) < fraction * 1_000_003)
+    drawn = usable.where(F.pmod("_h", F.lit(1_000_003)) < fraction * 1_000_003).groupBy("lang", "_h").agg(F.min("_text").alias("_text"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy("_h", "_text"))
     return drawn.withColumn("_r", rank).where(F.col("_r") <= cap).select("lang", "_text")
 

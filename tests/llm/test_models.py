@@ -161,3 +161,12 @@ def test_most_frequent_words_are_taken_from_the_top(spark):
     assert max(missed) <= 2 ** 0.125 * min(got.values()) + 1
     assert lm_score.most_frequent(table, 10**6).count() == 5000
     assert lm_score.most_frequent(table.limit(0), 10).count() == 0
+
+
+def test_language_sample_holds_different_texts(spark):
+    texts = spark.range(200).select(F.concat(F.lit("text number "), "id").alias("text"))
+    first = texts.orderBy(F.pmod(F.xxhash64("text"), F.lit(1_000_003))).first()["text"]  # drawn at any fraction
+    copies = spark.range(3000).select(F.lit(first).alias("text"))
+    docs = texts.unionByName(copies).withColumn("lang", F.lit("en"))
+    sample = lang_id.training_sample(docs, F.lit(True), "lang", "text", 100)
+    assert sample.count() == 100 and sample.distinct().count() == 100
