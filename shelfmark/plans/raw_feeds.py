@@ -109,7 +109,7 @@ def json_map_files(spark: SparkSession, d: str) -> DataFrame:
         F.unix_timestamp(F.date_trunc("day", "ts").cast("timestamp")).cast("string").alias("k"), F.col("event_type").alias("v")))))).alias("value"))
     with feed_folder(spark, "json-maps") as root:
         # the folder of each value is moved into the file name that the reader takes the key from
-        per.repartition(1, "event_type").write.partitionBy("event_type").text(root)
+        per.repartition("event_type").write.partitionBy("event_type").text(root)
         files = spark.read.text(root, wholetext=True)
         return materialize(feeds.explode_json_map(files.withColumnRenamed("event_type", "file_key"), "file_key", "value"))
 

@@ -62,3 +62,34 @@ def test_query_matches_oracle_and_plan_is_clean(spark, con, name):
     got = sorted("|".join(_norm(r[i]) for i in sorder) for r in rows)
     exp = sorted("|".join(_norm(r[i]) for i in order) for r in want)
     assert got == exp
+
+
+def test_writers_take_more_tasks_for_more_rows(spark, monkeypatch):
+    import os
+
+    from shelfmark.plans import raw_feeds
+    tasks = {}
+
+    def seen(module):
+        remove = module.remove_path
+
+        def remove_path(session, path):
+            local = path.removeprefix("file:")
+            names = [f for _, _, files in os.walk(local) for f in files if f.startswith("part-")]
+            tasks.setdefault(module.__name__, set()).update(f.split("-")[1] for f in names)
+            remove(session, path)
+        monkeypatch.setattr(module, "remove_path", remove_path)
+
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    seen(registry), seen(raw_feeds)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        books = registry.QUERIES["conform_schema"](spark, SF).count()
+        maps = registry.QUERIES["raw_json_maps"](spark, SF).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert books and maps
+    assert len(tasks["shelfmark.plans.registry"]) > 2 and len(tasks["shelfmark.plans.raw_feeds"]) > 1
