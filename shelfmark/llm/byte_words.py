@@ -1,8 +1,8 @@
 """Words of many texts at once: numpy over the UTF-8 bytes of an Arrow column.
 
 A word is a run of bytes that are not white space, A-Z folded, and is named by
-a 64-bit hash: a polynomial over the word's bytes, read off one running sum
-(so the cost is per byte, not per word) and then mixed.  Texts are taken in
+a 64-bit hash: its blocks of eight bytes are each mixed with their place in the
+word, summed, and mixed with the length (most words are one block).  Texts are taken in
 pieces of about ``PIECE_BYTES`` so that working arrays stay small; a text is
 never cut, so a longer one is a piece of its own.
 """
@@ -32,9 +32,6 @@ def seeds(n: int, salt: int) -> np.ndarray:
         return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt)) | np.uint64(1)
 
 
-_BYTE = seeds(256, 17)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _WHITE = np.zeros(256, dtype=bool)
@@ -42,16 +39,25 @@ _WHITE[[32, 9, 10, 11, 12, 13]] = True
 #: Bytes of words where punctuation also separates: letters, digits, and all of other scripts.
 LETTERS = np.zeros(256, dtype=bool)
 LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0], _powers[1]
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs data[start:end] (none empty)."""
+    size = end - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    block_at = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    total = mix(mix(block_at[start] & _FIRST_BYTES[np.minimum(size, 8)]) ^ _STEP)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        more = (size[long] - 1) // 8
+        first = np.cumsum(more) - more
+        place = np.arange(more.sum()) - np.repeat(first, more) + 1
+        at = np.repeat(start[long], more) + 8 * place
+        block = block_at[at] & _FIRST_BYTES[np.minimum(np.repeat(end[long], more) - at, 8)]
+        total[long] += np.add.reduceat(mix(mix(block) ^ mix((place + 1).astype(np.uint64) * _STEP)), first)
+    return mix(total + size.astype(np.uint64))
 
 
 @dataclass
@@ -120,10 +126,7 @@ def words(piece: Piece, inside: np.ndarray | None = None) -> Words:
         head[inner] = solid[inner]
         tail[inner - 1] = solid[inner - 1]
     start, end = np.flatnonzero(head), np.flatnonzero(tail) + 1
-    power, inverse = _power_tables(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[folded] * power[:n], out=total[1:])
-    hashes = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    hashes = run_hashes(folded, start, end)
     return Words(hashes, np.searchsorted(start, piece.ends), start, end, folded)
 
 
