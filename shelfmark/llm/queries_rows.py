@@ -1,10 +1,10 @@
-"""Queries of operators 3, 6 and 10; SQL cannot express them."""
+"""Queries of operators 3, 6, 10 and 12; SQL cannot express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import licenses, packing, sharding
+from shelfmark.llm import best_fit, licenses, packing, sharding
 from shelfmark.llm.frames import documents
 
 
@@ -27,4 +27,9 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
-QUERIES = {"op3_sharding": op3_sharding, "op6_packing": op6_packing, "op10_license_scan": op10_license_scan}
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(documents(spark, sf_dir), tokenizer_path())
+
+
+QUERIES = {"op3_sharding": op3_sharding, "op6_packing": op6_packing, "op10_license_scan": op10_license_scan,
+           "op12_best_fit": op12_best_fit}
