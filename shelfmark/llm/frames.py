@@ -22,13 +22,14 @@ _made: list[str] = []
 
 
 @contextmanager
-def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Tables written inside are removed at the end, but for the last one."""
+def scratch_scope(spark: SparkSession, keep: int = 1) -> Iterator[None]:
+    """Tables written inside are removed at the end, but for the last ``keep``."""
     start = len(_made)
     yield
-    for path in _made[start:-1]:
+    stop = max(start, len(_made) - keep)
+    for path in _made[start:stop]:
         remove_path(spark, path)
-    del _made[start:-1]
+    del _made[start:stop]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

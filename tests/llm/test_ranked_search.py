@@ -68,10 +68,10 @@ def test_early_close_reads_less(spark, monkeypatch):
     read = []
     one = ranked_search._round
 
-    def watched(blocks, postings, budget, k):
-        candidates, closed = one(blocks, postings, budget, k)
-        read.append((closed.count(), candidates.count()))
-        return candidates, closed
+    def watched(*args):
+        after, seen = one(*args)
+        read.append((after.where("_closed").count(), seen.count()))
+        return after, seen
     monkeypatch.setattr(ranked_search, "_round", watched)
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
     items = spark.createDataFrame([(1, "telling common words")], "item_id bigint, text string")
