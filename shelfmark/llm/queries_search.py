@@ -1,13 +1,17 @@
-"""Query of operator 13, with SQL."""
+"""Queries of operators 11 and 13, the latter with SQL (there is no crc32 for the former)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfmark.llm import ranked_search
+from shelfmark.llm import ranked_search, spelling
 from shelfmark.llm.frames import documents
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(documents(spark, sf_dir)))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ranked_search.index(documents(spark, sf_dir))
     out = ranked_search.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -31,5 +35,5 @@ SELECT item_id, row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id, r
 FROM a WHERE score > 0 QUALIFY rank <= 10
 """
 
-QUERIES = {"op13_ranked_search": op13_ranked_search}
+QUERIES = {"op11_spelling_variants": op11_spelling_variants, "op13_ranked_search": op13_ranked_search}
 ORACLE = {"op13_ranked_search": OP13_SQL}
