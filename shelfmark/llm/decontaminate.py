@@ -10,8 +10,8 @@ windows behind a hit are extended, that is compared word for word.  Items
 shorter than WINDOW are fingerprinted by their whole length, one gram size per
 length that occurs (at most WINDOW - 1).
 
-The benchmark's fingerprints are broadcast only when their counted number is
-at most ``BROADCAST_ROWS`` (8 bytes each); beyond that both sides are shuffled
+The benchmark's fingerprints and windows are each broadcast only when their counted bytes are
+at most ``BROADCAST_BYTES``; beyond that both sides are shuffled
 and adaptive execution splits hot fingerprints.
 
 Defined cases: null or empty texts have no words and no hits; items without
@@ -23,13 +23,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.llm.frames import identified, with_identity, written
+from shelfmark.llm.frames import identified, own_columns, with_identity, written
 from shelfmark.llm.native_text import grams, let, lower_az, words_of
 
 WINDOW = 10
 K = 5
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 16 << 20
 KEY = ["_id", "_th"]
 
 
@@ -76,15 +76,16 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
     return rows.select(fp.alias("_fp"), "_len", "_window", "_item").distinct()
 
 
-def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _maybe_broadcast(df: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_col: str = "item_id", item_text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(per row: _id, _th, _n_words; per matched window: _id, _th, _start, _len, _item)."""
     windows = written(benchmark_windows(benchmark, item_col, item_text_col), "benchmark-windows")
-    known = windows.agg(F.count("*").alias("n"), F.collect_set("_len").alias("l")).first()
+    text_bytes = F.sum(F.octet_length("_window") + F.octet_length(F.col("_item").cast("string")))
+    known = windows.agg(F.count("*").alias("n"), F.collect_set("_len").alias("l"), F.coalesce(text_bytes, F.lit(0)).alias("bytes")).first()
     rows = identified(docs, id_col, text_col)
     runs = _runs(_minima(F.col("_w")), WINDOW)
     for n in sorted(x for x in known["l"] if x < WINDOW):
@@ -92,7 +93,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     prints = windows.select("_fp", "_len").distinct()
     marks = (rows.select(*KEY, plain_words(F.col("_text")).alias("_w"))
              .select(*KEY, F.explode(runs).alias("_r")).select(*KEY, "_r", F.col("_r.fp").alias("_fp"), F.col("_r.len").alias("_len"))
-             .join(_maybe_broadcast(prints, known["n"]), ["_fp", "_len"], "left_semi")
+             .join(_maybe_broadcast(prints, 12 * known["n"]), ["_fp", "_len"], "left_semi")
              .groupBy(*KEY).agg(F.collect_set(F.struct("_r.len", "_r.start", "_r.stop")).alias("_runs")))
 
     def starts(w: Column) -> Column:
@@ -109,7 +110,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     matched = (per_row.where(F.col("_at").isNotNull()).select(*KEY, F.explode("_at").alias("_a"))
                .select(*KEY, F.col("_a.start").alias("_start"), F.col("_a.len").alias("_len"), F.col("_a.window").alias("_window"))
                .distinct()
-               .join(_maybe_broadcast(windows.select("_len", "_window", "_item"), known["n"]), ["_len", "_window"])
+               .join(_maybe_broadcast(windows.select("_len", "_window", "_item"), known["bytes"] + 32 * known["n"]), ["_len", "_window"])
                .select(*KEY, "_start", "_len", "_item"))
     return per_row.select(*KEY, "_n_words").distinct(), matched
 
@@ -136,6 +137,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             .withColumn("_items", F.coalesce("_items", F.array().cast("array<string>"))))
 
 
+@own_columns
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that share no window with the benchmark, columns unchanged."""

@@ -3,15 +3,18 @@
 Identity.  ``doc_id`` may be null or repeated.  Operators order and join rows
 by ``_id`` (doc_id as bigint; null counts as the largest id, 2^63 - 1) and, where a
 row must be found again, by ``_id`` plus ``_th``, a 64-bit hash of the text.
-Rows equal in both are equal inputs and get equal results.  Working columns
-start with an underscore and are dropped before a result is returned, so
-input columns of any other name cannot clash with them.
+Rows equal in both are equal inputs and get equal results.
+
+Names.  Working columns start with an underscore.  ``own_columns`` keeps the caller's
+columns apart from them, whatever they are called.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import inspect
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -36,16 +39,52 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def own_columns(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Runs ``operator(docs, ..., <name>_col=...)`` on ``docs`` with its columns called
+    c0, c1, ..., so that none clashes with the operator's own, and gives them their
+    names back.  A column that the operator adds under a name of the caller's
+    comes out as ``<name>_new``."""
+    signature = inspect.signature(operator)
+
+    @wraps(operator)
+    def run(*args, **options) -> DataFrame:
+        call = signature.bind(*args, **options)
+        call.apply_defaults()
+        docs = call.arguments["docs"]
+        plain = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+        call.arguments["docs"] = docs.toDF(*plain.values())
+        for key in ("id_col", "text_col", "key_col", "learn_col"):
+            if key in call.arguments:
+                call.arguments[key] = plain.get(call.arguments[key], call.arguments[key])
+        out = operator(*call.args, **call.kwargs)
+        given = {v: k for k, v in plain.items()}
+
+        def name(c: str) -> str:
+            if c in given:
+                return given[c]
+            return c if c not in plain else name(f"{c}_new")
+        return out.toDF(*map(name, out.columns))
+    return run
+
+
+def numbered(id_col: str) -> Column:
+    """The id as bigint; null is NULL_ID.  Other texts than whole numbers are refused."""
+    number = F.col(id_col).try_cast("long")
+    refused = F.concat(F.lit("document ids must be whole numbers (bigint), got: "), F.col(id_col).cast("string"))
+    return (F.when(F.col(id_col).isNull(), F.lit(NULL_ID))
+            .when(number.isNull(), F.raise_error(refused).cast("long")).otherwise(number))
+
+
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_id, _th, _text, <id_col>): what an operator needs of a document row; null text stays null."""
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_id"),
+    return docs.select(F.col(id_col), numbered(id_col).alias("_id"),
                        F.xxhash64(text).alias("_th"), text.alias("_text"))
 
 
 def with_identity(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` plus ``_id`` and ``_th``."""
-    return docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)),
+    return docs.withColumns({"_id": numbered(id_col),
                              "_th": F.xxhash64(F.col(text_col).cast("string"))})
 
 

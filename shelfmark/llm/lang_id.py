@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shelfmark.llm import byte_words as bw
+from shelfmark.llm.frames import own_columns
 
 DIM = 8192
 TRAIN_ROWS = 2000
@@ -186,8 +187,9 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str
     return fit(found["lang"].to_pylist(), dense)
 
 
+@own_columns
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``lang_pred`` and ``score``; clashing columns must be renamed first."""
+    """``docs`` without its text, plus ``lang_pred`` and ``score``."""
     kept = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -250,7 +250,8 @@ def _by_key(notices: dict[str, list[str]], min_coverage: float) -> dict[str, lis
     return out
 
 
-def matches(text: str, notices: dict[str, list[str]], min_coverage: float = MIN_COVERAGE, by_key: dict[str, list[str]] | None = None):
+def matches(text: str, notices: dict[str, list[str]], min_coverage: float = MIN_COVERAGE, by_key: dict[str, list[str]] | None = None,
+            spread: float = SPREAD):
     """[(name, coverage, first word, words spanned, decides)] of all notices at all their places, the best first.
 
     ``decides`` marks those that overlap no better one that decides.
@@ -262,7 +263,7 @@ def matches(text: str, notices: dict[str, list[str]], min_coverage: float = MIN_
     for name in {name for w in by_key.keys() & known for name in by_key[w]}:
         notice = notices[name]
         if sum(w in known for w in notice) >= _needed(len(notice), min_coverage):
-            found += [(-coverage, -len(notice), name, first, span) for coverage, first, span in places(words, notice, min_coverage)]
+            found += [(-coverage, -len(notice), name, first, span) for coverage, first, span in places(words, notice, min_coverage, spread)]
     out, won = [], []  # won: (first word, place after the last) of those that decide, sorted
     for coverage, _, name, first, span in sorted(found):
         after = bisect_left(won, (first + span,))
@@ -284,7 +285,7 @@ _MATCH = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("firs
 
 
 def scan(docs: DataFrame, notices: dict[str, str] | None = None, min_coverage: float = MIN_COVERAGE,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", spread: float = SPREAD) -> DataFrame:
     """(<id_col>, license, coverage, first_word, n_words_spanned, matches), one row per input row.
 
     ``matches`` holds every notice at every place whose coverage reaches the bound, the best first; the columns before it are its first entry.
@@ -295,7 +296,7 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None, min_coverage: f
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [matches(t.as_py(), split, min_coverage, by_key) if t.is_valid else [] for t in batch.column("_text")]
+            found = [matches(t.as_py(), split, min_coverage, by_key, spread) if t.is_valid else [] for t in batch.column("_text")]
             best = [f[0][:4] if f else (None, 0.0, None, None) for f in found]
             name, coverage, first, span = zip(*best) if best else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(

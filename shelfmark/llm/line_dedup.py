@@ -24,7 +24,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfmark.llm.frames import identified, shuffle_partitions, with_identity, written
+from shelfmark.llm.frames import identified, own_columns, shuffle_partitions, with_identity, written
 from shelfmark.llm.native_text import let, lower_az, strip_white
 
 MIN_KEY_CHARS = 10
@@ -124,8 +124,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return drops
 
 
-def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` plus ``_kept`` (the text that stays), ``_n_lines`` and ``_n_dropped``."""
+def _deduped(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
     gone = (dropped_lines(docs, id_col, text_col, **options).groupBy("_id", "_th")
             .agg(F.collect_set("_pos").alias("_gone")))
     rows = with_identity(docs, id_col, text_col)
@@ -139,3 +138,17 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .withColumn("_n_dropped", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
             .drop("_id", "_th", "_gone"))
 
+
+@own_columns
+def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` plus ``_kept`` (the text that stays), ``_n_lines`` and ``_n_dropped``."""
+    return _deduped(docs, id_col, text_col, **options)
+
+
+def cut_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, **options) -> DataFrame:
+    """``docs`` with its text replaced by the text that stays, and ``length_col`` by that text's length."""
+    @own_columns
+    def cut(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        return _deduped(docs, id_col, text_col, **options).withColumn(text_col, F.col("_kept")).select(*docs.columns)
+    out = cut(docs, id_col, text_col)
+    return out.withColumn(length_col, F.char_length(text_col).cast("long")) if length_col else out

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.llm import byte_words as bw
-from shelfmark.llm.frames import identified, with_identity, written
+from shelfmark.llm.frames import identified, own_columns, with_identity, written
 
 HEAD, SUFFIXES = 32, 31
 CLASSES = 1 + HEAD + SUFFIXES  # class 0 is the end of a text
@@ -320,9 +320,15 @@ def scored(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
            rounds: int = ROUNDS) -> DataFrame:
     """``docs`` plus _n_tokens, _n_known, _train_tokens, _base and _score
     (log10); ``learn`` says which rows are learned from."""
+    mark = "_".join(["learn", *docs.columns])  # a free name
+    return _with_scores(docs.select("*", learn.alias(mark)), mark, id_col, text_col, rounds).drop(mark)
+
+
+@own_columns
+def _with_scores(docs: DataFrame, learn_col: str, id_col: str, text_col: str, rounds: int) -> DataFrame:
     spark = docs.sparkSession
     rows = identified(docs, id_col, text_col)
-    texts = identified(docs.where(learn), id_col, text_col)
+    texts = identified(docs.where(F.col(learn_col)), id_col, text_col)
     counts = word_counts(texts)
     model = trained(counted_model(counts), texts, rounds)
     handle = spark.sparkContext.broadcast(model)

@@ -1,7 +1,7 @@
 """Operator 5: near-duplicate groups by HyperMinHash.
 
 A text's set holds its distinct 5-word shingles (64-bit hashes).  Equal sets
-form one class, and only one sketch per class goes on.  A sketch has REGISTERS
+(size and two sums of hashes agree) form one class, and only one sketch per class goes on.  A sketch has REGISTERS
 buckets; each keeps the smallest hash that fell into it as a leading-zero
 count (6 bits) and the next 10 bits.  Sets of at least WIDE shingles are dealt over
 the buckets by one hash; smaller sets cannot fill them, so there each bucket
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.llm import byte_words as bw
 from shelfmark.llm.components import components
-from shelfmark.llm.frames import NULL_ID, identified, with_identity, written
+from shelfmark.llm.frames import identified, own_columns, with_identity, written
 
 SHINGLE = 5
 THRESHOLD = 85  # in hundredths
@@ -95,7 +95,7 @@ def _distinct_sets(texts: pa.Array, k: int) -> Iterator[tuple[slice, list[np.nda
         yield piece.rows, sets
 
 
-SKETCH = ("_id bigint, _th bigint, _n bigint, _node bigint, _bands array<bigint>, "
+SKETCH = ("_id bigint, _th bigint, _n bigint, _node bigint, _check bigint, _bands array<bigint>, "
           "_narrow binary, _wide binary")
 SETS = "_node bigint, _set array<bigint>"
 
@@ -107,6 +107,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             joined = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
             first = np.concatenate([[0], np.cumsum(size)])
             node = bw.mix(bw.segment_sums(bw.mix(joined ^ np.uint64(0x5DEECE66D)), first) + size.astype(np.uint64))
+            check = bw.mix(bw.segment_sums(bw.mix(joined ^ np.uint64(0xB5297A4D3F84D5B5)), first))
             limit = WIDE * 100 / THRESHOLD
             low = np.flatnonzero((size > 0) & (size < limit))
             high = np.flatnonzero(size >= WIDE * THRESHOLD / 100)
@@ -120,9 +121,9 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 _fill(high, np.stack([_wide(sets[t]) for t in high]), False, bands, regs[1])
             yield pa.RecordBatch.from_arrays([
                 batch.column("_id")[rows], batch.column("_th")[rows], pa.array(size),
-                pa.array(node.view(np.int64)), pa.array(bands, pa.list_(pa.int64())),
+                pa.array(node.view(np.int64)), pa.array(check.view(np.int64)), pa.array(bands, pa.list_(pa.int64())),
                 pa.array(regs[0], pa.binary()), pa.array(regs[1], pa.binary())],
-                names=["_id", "_th", "_n", "_node", "_bands", "_narrow", "_wide"])
+                names=["_id", "_th", "_n", "_node", "_check", "_bands", "_narrow", "_wide"])
 
 
 def _fill(texts, registers, narrow, bands, regs) -> None:
@@ -293,11 +294,23 @@ def links(sketches: DataFrame, sets_of) -> DataFrame | None:
             .unionByName(_block_links(members, sizes, sets)))
 
 
+def _parted(sketched: DataFrame) -> DataFrame:
+    """``sketched`` with a node of its own for every set.  Sets are one class if size and two 64-bit sums over
+    their shingles agree; where only the first agrees, the others get new nodes."""
+    same = sketched.where("_n > 0").select("_node", "_n", "_check").distinct()
+    mixed = same.groupBy("_node").agg(F.count("*").alias("_of"), F.min(F.struct("_n", "_check")).alias("_stays")).where("_of > 1")
+    moved = written(same.join(mixed, "_node").where(F.struct("_n", "_check") != F.col("_stays"))
+                    .select("_node", "_n", "_check", F.xxhash64("_node", "_n", "_check").alias("_new")), "moved-nodes", narrow=True)
+    if moved.isEmpty():
+        return sketched
+    return sketched.join(moved, ["_node", "_n", "_check"], "left").withColumn("_node", F.coalesce("_new", "_node")).drop("_new")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per distinct row: _id, _th, _n (set size), _root (the group; null for
     an empty set) and _component (the group's smallest _id)."""
     rows = identified(docs, id_col, text_col)
-    sketched = written(rows.select("_id", "_th", "_text").mapInArrow(_sketches, SKETCH), "sketches")
+    sketched = _parted(written(rows.select("_id", "_th", "_text").mapInArrow(_sketches, SKETCH), "sketches"))
     first = (sketched.where("_n > 0").groupBy("_node").agg(F.min(F.struct("_id", "_th")).alias("_rep")))
     classes = written(first.select("_node", "_rep._id", "_rep._th"), "classes")
     sketches = written(sketched.join(classes, ["_node", *KEY], "left_semi").dropDuplicates(["_node"]), "class-sketches")
@@ -322,11 +335,13 @@ def _assigned(sketched: DataFrame, component: DataFrame) -> DataFrame:
     return rows.where("_n > 0").join(component, "_node").select(*KEY, "_n", "_root", "_component").unionByName(empty)
 
 
+@own_columns
 def with_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` plus _id, _th, _n, _root and _component."""
     return with_identity(docs, id_col, text_col).join(near_duplicates(docs, id_col, text_col), KEY)
 
 
+@own_columns
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of every group, the one of the smallest id; among rows of one id
     or without id, the one of the smallest text hash.  Texts without words are groups of their own."""

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfmark.llm.frames import own_columns
 from shelfmark.llm.native_text import grams, let, strip_white, words_of
 
 #: The most frequent function words of the four languages.
@@ -34,15 +35,18 @@ WINDOW = 8
 class Rule:
     """Keep a text only if ``value`` (a SQL expression over the measured
     counts) is at least ``low`` and at most ``high``; texts of fewer than
-    ``from_words`` words are not held to it."""
+    ``from_words`` words, and those that do not meet ``only_if``, are not held to it."""
     name: str
     value: str
     low: float | None = None
     high: float | None = None
     from_words: int = 0
+    only_if: str | None = None
 
 
 #: The threshold table.  The first two are the base rules, the rest the method's.
+#: The stop words are of four languages in Latin letters: texts in other scripts are not held to
+#: them, and a corpus with more languages in Latin letters needs a table of its own (``rules``).
 BASE_RULES = (
     Rule("min_words", "n_words", low=20),
     Rule("repeated_words", "100 * n_repeat_words - 30 * n_words", high=0),
@@ -52,7 +56,7 @@ RULES = (
     Rule("mean_word_length_long", "word_chars / n_words", high=25.0, from_words=20),
     Rule("symbols_per_word", "n_symbols / n_words", high=0.25),
     Rule("duplicate_lines", "n_dup_lines / n_lines", high=0.5, from_words=50),
-    Rule("stop_words", "n_stop_words / n_words", low=0.02, from_words=50),
+    Rule("stop_words", "n_stop_words / n_words", low=0.02, from_words=50, only_if="2 * n_latin_words >= n_words"),
     Rule("shouting", "n_shouts / n_words", high=0.3),
 )
 
@@ -85,6 +89,7 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
             let(hashes, twice).cast("long").alias("n_repeat_words"),
             _count(words, lambda w: F.lower(w).isin(*STOP_WORDS) & (w != F.upper(w))).alias("n_stop_words"),
+            _count(words, lambda w: F.rlike(w, F.lit("[A-Za-z]"))).alias("n_latin_words"),
             _count(words, lambda w: F.endswith(w, F.lit("!!"))).alias("n_shouts"))
 
     return (docs.withColumn("_w", let(words_of(text), counts))
@@ -106,6 +111,8 @@ def passes(rules: tuple[Rule, ...], counts: str = "_q") -> Column:
             ok = ok & (value >= F.lit(r.low))
         if r.high is not None:
             ok = ok & (value <= F.lit(r.high))
+        if r.only_if:
+            ok = ok | ~F.expr(_qualified(r.only_if, counts))
         if r.from_words:
             ok = ok | (F.col(f"{counts}.n_words") < r.from_words)
         verdict = verdict & F.coalesce(ok, F.lit(True))
@@ -119,12 +126,14 @@ def _qualified(expression: str, counts: str) -> str:
     return re.sub(r"\b(n_\w+|word_chars)\b", rf"{counts}.\1", expression)
 
 
-def judged(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``_q`` and booleans ``_base_failed``, ``_kept``."""
+@own_columns
+def judged(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` plus ``_q`` and booleans ``_base_failed``, ``_kept`` (by the base rules and ``rules``)."""
     out = measured(docs, text_col).withColumn("_base_failed", ~passes(BASE_RULES))
-    return out.withColumn("_kept", ~F.col("_base_failed") & passes(RULES))
+    return out.withColumn("_kept", ~F.col("_base_failed") & passes(rules))
 
 
-def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+@own_columns
+def keep_good(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows whose text passes every rule, columns unchanged."""
-    return judged(docs, text_col).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judged(docs, text_col, rules).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])

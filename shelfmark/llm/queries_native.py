@@ -78,7 +78,8 @@ def _op9_sql() -> str:
     def clause(r: quality_rules.Rule) -> str:
         value = r.value.replace(" / ", "::DOUBLE / ")
         tests = [f"({value}) >= {r.low}"] * (r.low is not None) + [f"({value}) <= {r.high}"] * (r.high is not None)
-        ok = "(" + " AND ".join(tests) + (f" OR n_words < {r.from_words}" if r.from_words else "") + ")"
+        ok = "(" + " AND ".join(tests) + (f" OR n_words < {r.from_words}" if r.from_words else "") + (
+            f" OR NOT ({r.only_if})" if r.only_if else "") + ")"
         return f"coalesce({ok}, true)"
     base = " AND ".join(map(clause, quality_rules.BASE_RULES))
     rest = " AND ".join(map(clause, quality_rules.RULES))
@@ -95,6 +96,7 @@ q AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))
              (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l)::BIGINT AS n_lines,
              coalesce(c.n, 0)::BIGINT AS n_repeat_words,
              len(list_filter(w, lambda x: lower(x) IN ({stop}) AND x <> upper(x)))::BIGINT AS n_stop_words,
+             len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]')))::BIGINT AS n_latin_words,
              len(list_filter(w, lambda x: x LIKE '%!!'))::BIGINT AS n_shouts
       FROM w LEFT JOIN c USING (doc_id)),
 v AS (SELECT *, NOT ({base}) AS base_failed, {rest} AS good FROM q)

@@ -19,6 +19,8 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from shelfmark.llm.frames import own_columns
+
 SLOTS = 65_537  # prime, over 100 slots for each of up to 655 shards
 SHARDS = 64
 
@@ -64,6 +66,7 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.lit(""))), F.lit(slots))
 
 
+@own_columns
 def with_shard(docs: DataFrame, shards: list[str] | None = None, slots: int = SLOTS,
                weights: list[int] | None = None, key_col: str = "doc_id") -> DataFrame:
     """``docs`` plus ``_slot`` and ``_shard``; rows are not moved."""

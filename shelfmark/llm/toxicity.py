@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.llm import byte_words as bw
-from shelfmark.llm.frames import written
+from shelfmark.llm.frames import own_columns, written
 
 BUCKETS = 1 << 20
 POSITIVES, UNLABELLED = 3000, 9000
@@ -139,6 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
                found["positive"].to_numpy(), prior)
 
 
+@own_columns
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, plus ``score``."""
     kept = [c for c in docs.columns if c != text_col]

@@ -30,16 +30,17 @@ def test_language_held_out_accuracy(spark, sf_small):
 def test_language_of_awkward_rows(spark, awkward, nothing, sf_small):
     model = lang_id.train(spark.read.parquet(f"{sf_small}/documents.parquet"), F.lit(True))
     assert set(model.languages) == {"germanic", "romance"} and len(model.pairs["romance"]) == 1
-    rows = awkward.drop("score")
+    rows = awkward
     out = lang_id.identify(rows, model)
     got = out.collect()
-    assert out.columns == [*[c for c in rows.columns if c != "text"], "lang_pred", "score"] and len(got) == rows.count()
+    assert out.columns == [*[c for c in rows.columns if c != "text"], "lang_pred", "score_new"] and len(got) == rows.count()
     for r in got:
+        assert r["score"] == "x"  # the caller's own column
         if r["doc_id"] in (6, 7, 8, 9):
-            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            assert (r["lang_pred"], r["score_new"]) == ("und", 0.0)
         elif r["doc_id"] is not None:
             assert r["lang_pred"] != "und"
-    assert lang_id.identify(nothing.drop("score"), model).count() == 0
+    assert lang_id.identify(nothing, model).count() == 0
     empty = lang_id.train(nothing, F.lit(True))
     assert {r["lang_pred"] for r in lang_id.identify(rows, empty).collect()} == {"und"}
 
@@ -61,17 +62,17 @@ def test_toxicity_held_out(spark):
 
 
 def test_toxicity_of_awkward_rows(spark, awkward, nothing):
-    docs = awkward.drop("score").unionByName(spark.createDataFrame(
-        [(500 + k, f"filler{k} some words " + ("vile" if k % 3 == 0 else "mild"), "en", "s", 1, "k", 0) for k in range(60)],
-        awkward.drop("score").schema))
+    docs = awkward.unionByName(spark.createDataFrame(
+        [(500 + k, f"filler{k} some words " + ("vile" if k % 3 == 0 else "mild"), "en", "s", 1, "x", "k", 0) for k in range(60)],
+        awkward.schema))
     labels = spark.createDataFrame([(500 + k, int(k % 3 == 0)) for k in range(45)] + [(None, 1), (502, None)], "doc_id bigint, toxic int")
     model = toxicity.train(docs, labels, F.lit(True))
-    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    got = {r["doc_id"]: r["score_new"] for r in toxicity.score(docs, model).collect()}
     assert got[500 + 57] > 0.5 > got[500 + 58] and all(0 <= s <= 1 for s in got.values())
     assert got[6] == got[7] == got[8]
     none = toxicity.train(nothing, labels, F.lit(True))
-    assert {r["score"] for r in toxicity.score(docs, none).collect()} == {0.0}
-    assert toxicity.score(nothing.drop("score"), model).count() == 0
+    assert {(r["score"], r["score_new"]) for r in toxicity.score(docs, none).collect()} == {("x", 0.0)}
+    assert toxicity.score(nothing, model).count() == 0
 
 
 def test_negative_part_is_kept_from_below_zero():
