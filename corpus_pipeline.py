@@ -7,7 +7,7 @@ starts.  All but the last return the columns of ``docs``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm import decontaminate, line_dedup, near_dup, packing, quality_rules
 from shelfmark.llm.frames import documents, scratch_scope, written
@@ -21,9 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows; lines that an earlier document holds are cut, ``n_chars`` follows."""
-    cut = line_dedup.dedupe_lines(docs)
-    new = {"text": F.col("_kept"), "n_chars": F.char_length("_kept").cast("long")}
-    return cut.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    return line_dedup.cut_lines(docs, length_col="n_chars" if "n_chars" in docs.columns else None)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
