@@ -85,7 +85,7 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Written: (word, n) of the maximal runs of letters, damaged where their hash says so, that are long and frequent enough."""
     rows = docs.select(F.col(id_col).cast("string").alias("_name"), F.col(text_col).cast("string").alias("_text"))
     counts = rows.mapInArrow(_counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return written(counts.where(F.col("n") >= MIN_COUNT), "vocabulary", narrow=True)
+    return written(counts.where(F.col("n") >= MIN_COUNT), "vocabulary")
 
 
 # ---- index -------------------------------------------------------------------
