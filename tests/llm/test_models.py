@@ -81,8 +81,28 @@ def test_negative_part_is_kept_from_below_zero():
     buckets = np.where(np.arange(200) % 2 == 0, 5, 9)
     positive = np.zeros(200, bool)
     positive[:60:2] = True
-    model = toxicity.fit(rows, buckets, positive, prior=0.45)
+    model = toxicity.fit(rows, buckets, positive, 0.45, np.array([5, 7]), np.array([0.9, 0.8]))
     assert model.weights[5] + model.bias > 0 > model.bias
+    assert abs(1 / (1 + np.exp(-model.weights[7] - model.bias)) - 0.8) < 1e-9  # not in the sample: by its counts
+
+
+def test_toxic_words_are_counted_over_all_rows(spark, monkeypatch):
+    """Hundreds of telling words, most of them outside the sample of the gradient steps."""
+    monkeypatch.setattr(toxicity, "POSITIVES", 40)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 200)
+    rows = [(k, f"vile{k % 100} plain{k % 7} words{k % 11} here") for k in range(4000)]
+    rows += [(10_000 + k, f"plain{k % 7} words{k % 11} here there") for k in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i < 10_000)) for i, _ in rows], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True))
+    asked = spark.createDataFrame([(k, f"plain1 vile{k} here") for k in range(100)] + [(900, "plain1 words2 here")], "doc_id bigint, text string")
+    score = {r["doc_id"]: r["score"] for r in toxicity.score(asked, model).collect()}
+    assert min(score[k] for k in range(100)) > 0.5 > score[900]
+    # the same counts by hand
+    found, purity = toxicity.telling_words(docs.withColumnsRenamed({"doc_id": "_key", "text": "_text"}), labels.where("toxic = 1").select(F.col("doc_id").alias("_key")), 1 / 6)
+    word = lambda t: int(bw.words(next(bw.pieces(pa.array([t])))).hashes[0]) & (toxicity.BUCKETS - 1)
+    assert set(found) == {word(f"vile{k}") for k in range(100)}
+    assert np.allclose(purity, (1 / 6) * (40 / 4000) / (40 / 24_000))
 
 
 def base_by_hand(rows):
