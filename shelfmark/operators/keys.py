@@ -2,7 +2,7 @@
 
 ``dense_ids`` numbers rows 0..n-1 in key order without a one-task stage:
 range-partition and sort, tag every row with its partition and position
-(``monotonically_increasing_id`` = partition << 33 | position), materialise,
+(``monotonically_increasing_id`` = partition << 33 | position), write,
 count rows per partition, turn the counts into offsets and add them.  The
 offsets table has one row per partition, so broadcasting it is bounded by the
 partition count, not by the data.
@@ -16,21 +16,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.operators.relate import dedupe_by_key
-from shelfmark.session import materialize
+from shelfmark.session import stored
 
 
 def dense_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "id", start: int = 0,
               num_partitions: int | None = None) -> DataFrame:
     """K1. Add ``id_col`` = start + rank of the row in ``order_by`` order
     (0-based, gap-free).  Rows should be distinct on ``order_by``; ties get
-    distinct ids in an unspecified order.  The result is materialised (reliable
-    checkpoint), so dimension, bridge and fact builders all see the same ids."""
+    distinct ids in an unspecified order.  The rows are written before they are
+    split by ranges (which reads them twice) and after, so the work above is done
+    once and dimension, bridge and fact builders all see the same ids."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (df.repartitionByRange(n, *order_by)
+    ordered = (stored(df, "keys").repartitionByRange(n, *order_by)
                  .sortWithinPartitions(*order_by)
                  .withColumn("_mid", F.monotonically_increasing_id()))
-    ordered = materialize(ordered)
+    ordered = stored(ordered, "ordered-keys")
     part = F.shiftright(F.col("_mid"), 33)
     tagged = ordered.withColumn("_part", part).withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_part"), 33))
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

@@ -115,13 +115,13 @@ def join_on_date_parts(df: DataFrame, ts_col: str, daily: DataFrame, year: str =
                        how: str = "left") -> DataFrame:
     """J5. Match the calendar day of ``ts_col`` against three integer columns.
 
-    A three-key equi-join.  The daily table holds one row per calendar day, a
-    bound that does not grow with the data, so it is hinted for broadcast.  Duplicate days on the right fan out,
-    as in the original job (checked by ``quality.unique_key_violations``)."""
+    A three-key equi-join without a hint: a table of one row per calendar day is
+    broadcast by its size, one by station or hour is not.  Duplicate days on the right fan out,
+    as in the original job (checked by ``quality.pk_violations``)."""
     r = daily.select(F.col(year).alias("_y"), F.col(month).alias("_m"), F.col(day).alias("_d"), *columns)
     ts = F.col(ts_col)
     cond = (F.year(ts) == F.col("_y")) & (F.month(ts) == F.col("_m")) & (F.dayofmonth(ts) == F.col("_d"))
-    return df.join(F.broadcast(r), cond, how).drop("_y", "_m", "_d")
+    return df.join(r, cond, how).drop("_y", "_m", "_d")
 
 
 def two_hop_left_join(df: DataFrame, lookup: DataFrame, dim: DataFrame, df_key: str, lookup_key: str,

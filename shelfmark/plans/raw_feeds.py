@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.temporal import CHECKOUT_DATETIME_FORMAT, EXTERNAL_DATE_FORMAT
 from shelfmark.plans import catalog as C
-from shelfmark.plans.star import build_star
-from shelfmark.session import materialize, remove_path, scratch_path
+from shelfmark.plans.star import (build_authors, build_books, build_fact, build_publishers, build_star, link_external_books,
+                                  load_checkout_rows, load_inventory_books, publisher_lookup)
+from shelfmark.session import materialize, remove_at_exit, remove_path, scratch_path, stored
 from shelfmark.sources import feeds
 from shelfmark.sources.sinks import write_csv
 from shelfmark.sources.tables import table
@@ -70,19 +71,44 @@ def feed_folder(spark: SparkSession, name: str):
         remove_path(spark, root)
 
 
+_FEEDS: dict[tuple[str, str], str] = {}
+
+
+def feeds_of(spark: SparkSession, d: str) -> str:
+    """The folder of the six feeds, written once per application and input folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FEEDS:
+        root = scratch_path(spark, "feeds")
+        write_feeds(spark, d, root)
+        remove_at_exit(spark, root)
+        _FEEDS[key] = root
+    return _FEEDS[key]
+
+
 def star_from_feeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """B12 from the files: S1, S2, S4 readers, B1, B2 and the builders."""
-    inventory = feeds.load_inventory(spark, os.path.join(root, "inventory"))
-    dictionary = feeds.load_data_dictionary(spark, os.path.join(root, "dictionary"))
-    checkouts = feeds.read_header_csv(spark, os.path.join(root, "checkouts"), feeds.CHECKOUT_COLUMNS)
-    external = feeds.load_external_books(spark, os.path.join(root, "external"))
-    return build_star(inventory, dictionary, checkouts, external, feeds.load_weather(spark, os.path.join(root, "weather")))
+    inventory, dictionary, checkouts, external, weather = _read_feeds(spark, root)
+    return build_star(inventory, dictionary, checkouts, external, weather)
+
+
+def _read_feeds(spark: SparkSession, root: str) -> tuple[DataFrame, ...]:
+    return (feeds.load_inventory(spark, os.path.join(root, "inventory")),
+            feeds.load_data_dictionary(spark, os.path.join(root, "dictionary")),
+            feeds.read_header_csv(spark, os.path.join(root, "checkouts"), feeds.CHECKOUT_COLUMNS),
+            feeds.load_external_books(spark, os.path.join(root, "external")),
+            feeds.load_weather(spark, os.path.join(root, "weather")))
 
 
 def raw_star_table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    with feed_folder(spark, "feeds") as root:
-        write_feeds(spark, d, root)
-        return materialize(star_from_feeds(spark, root)[name])
+    """One table of the star from the files, by the builders that it needs."""
+    inventory, dictionary, checkouts, external, weather = _read_feeds(spark, feeds_of(spark, d))
+    books = stored(link_external_books(load_inventory_books(inventory, dictionary), external), "books")
+    if name == "dim_book":
+        return build_books(books)
+    if name == "dim_author":
+        return build_authors(books).select("id", "name")
+    lookup = stored(publisher_lookup(books, None), "publisher-lookup")
+    return build_fact(load_checkout_rows(checkouts, dictionary), weather, lookup, build_publishers(lookup))
 
 
 def name_map(spark: SparkSession, d: str) -> DataFrame:
@@ -112,20 +138,3 @@ def json_map_files(spark: SparkSession, d: str) -> DataFrame:
         per.repartition("event_type").write.partitionBy("event_type").text(root)
         files = spark.read.text(root, wholetext=True)
         return materialize(feeds.explode_json_map(files.withColumnRenamed("event_type", "file_key"), "file_key", "value"))
-
-
-def warehouse_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Drop, create and load the dimension tables, then read one back with its rows joined to the fact's keys."""
-    import uuid
-
-    from shelfmark.sources.sinks import save_star_tables
-    database = f"star_{uuid.uuid4().hex[:12]}"
-    star = C.star(spark, d)
-    names = ("dim_subject", "dim_author", "dim_publisher", "br_book_subject", "dim_checkout_time")
-    try:
-        save_star_tables(spark, {n: star[n] for n in names}, database, buckets=4)
-        save_star_tables(spark, {"dim_subject": star["dim_subject"]}, database)  # a second load replaces the table
-        s, b = spark.table(f"{database}.dim_subject"), spark.table(f"{database}.br_book_subject")
-        return materialize(b.join(s, b.subject_id == s.id).groupBy("subject_id", "name").agg(F.count(F.lit(1)).alias("n_books")))
-    finally:
-        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")

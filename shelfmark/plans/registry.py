@@ -26,6 +26,7 @@ from shelfmark.operators.relate import (dedupe_by_key, explode_list, join_any_ke
                                         left_enrich, lookup_filter_join, map_or_raw, two_hop_left_join)
 from shelfmark.plans import analytics as A
 from shelfmark.plans import catalog as C
+from shelfmark.plans import deliveries as D
 from shelfmark.plans import oracle as O
 from shelfmark.plans import raw_feeds as R
 from shelfmark.plans import star as S
@@ -33,6 +34,7 @@ from shelfmark.plans.star import StarOptions, warehouse_tables
 from shelfmark.session import materialize, remove_path, scratch_path
 from shelfmark.sources.feeds import explode_json_map, extract_list_links, limit_rows
 from shelfmark.sources.sinks import STAR, conform_schema, write_parquet
+from shelfmark.sources import warehouse as W
 from shelfmark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -848,7 +850,49 @@ def q_raw_json_maps(spark, d):
     return R.json_map_files(spark, d)
 
 
-@register("warehouse_tables", O.with_star("""
-SELECT subject_id, name, count(*) AS n_books FROM br_book_subject JOIN dim_subject ON id = subject_id GROUP BY ALL"""))
+def _warehouse_sql() -> str:
+    parts = []
+    for t in STAR.values():
+        keys = f"count(DISTINCT {t.primary_key[0]})" if t.primary_key else "CAST(NULL AS BIGINT)"
+        orphans = "".join(f" + (SELECT count(*) FROM {t.name} c WHERE c.{c} IS NOT NULL AND NOT EXISTS "
+                          f"(SELECT 1 FROM {rt} p WHERE p.{rc} = c.{c}))" for c, rt, rc in t.foreign_keys)
+        met = "FROM fact_spl_book_checkout JOIN dim_checkout_time USING (checkout_datetime)"
+        fact = t.name == W.FACT
+        parts.append(f"SELECT '{t.name}' AS table_name, count(*) AS n_rows, {keys} AS n_keys, "
+                     f"{'0' + orphans if orphans else 'CAST(NULL AS BIGINT)'} AS n_orphans, "
+                     f"{f'(SELECT count(*) {met})' if fact else 'CAST(NULL AS BIGINT)'} AS n_with_time, "
+                     f"{f'(SELECT sum(weekday) {met})' if fact else 'CAST(NULL AS BIGINT)'} AS sum_weekday FROM {t.name}")
+    return " UNION ALL ".join(parts)
+
+
+@register("warehouse_tables", O.with_star(_warehouse_sql()))
 def q_warehouse_tables(spark, d):
-    return R.warehouse_round_trip(spark, d)
+    return D.warehouse_report(spark, d)
+
+
+# --------------------------------------------------------------------------- incremental loads
+
+def _given(select_sql: str) -> str:
+    return O.with_star(f", {D.given_ids_sql(O.clean_publisher('name'))}\n{select_sql}")
+
+
+@register("incremental_dimensions", _given("\nUNION ALL\n".join(
+    f"SELECT 'dim_{n}' AS table_name, id, name FROM given_{n}" for n in ("author", "subject", "publisher"))))
+def q_incremental_dimensions(spark, d):
+    return D.delivered_dimensions(spark, d)
+
+
+@register("incremental_bridges", _given("""
+SELECT a.bib_num, 'br_book_author' AS table_name, g.id FROM author_keys a JOIN given_author g ON a.key = g.key
+UNION ALL
+SELECT b.bib_num, 'br_book_subject' AS table_name, g.id
+FROM (SELECT bib_num, unnest(string_split(raw_subjects, ', ')) AS name FROM books) b JOIN given_subject g ON b.name = g.name"""))
+def q_incremental_bridges(spark, d):
+    return D.delivered_bridges(spark, d)
+
+
+@register("incremental_fact", _given("""
+SELECT f.bib_num, f.item_barcode, f.checkout_datetime, f.temperature, g.id AS publisher_id, f.id
+FROM fact_spl_book_checkout f LEFT JOIN pub_lookup l ON l.bib_num = f.bib_num LEFT JOIN given_publisher g ON g.key = l.key"""))
+def q_incremental_fact(spark, d):
+    return D.delivered_fact(spark, d)

@@ -20,7 +20,7 @@ from shelfmark.functions.text import (clean_publication_year, clean_publisher, c
 from shelfmark.operators.keys import dense_ids
 from shelfmark.operators.relate import (dedupe_by_key, join_on_date_parts, link_multi_key, lookup_filter_join,
                                         map_or_raw, two_hop_left_join)
-from shelfmark.session import materialize
+from shelfmark.session import stored
 
 # The print-book filter of the data dictionary.
 PRINT_BOOK_FILTER = {"Code Type": "ItemType", "Format Group": "Print", "Format Subgroup": "Book"}
@@ -155,10 +155,10 @@ def build_star_from_books(books: DataFrame, checkouts: DataFrame, weather: DataF
     """B12 core: the eight tables from linked books, checkouts and weather.
 
     ``books`` feeds four builders and the fact, so it is materialised once."""
-    books = materialize(books)
+    books = stored(books, "books")
     dim_subject = build_subjects(books, opts)
     dim_author = build_authors(books, opts)
-    lookup = materialize(publisher_lookup(books, name_map))
+    lookup = stored(publisher_lookup(books, name_map), "publisher-lookup")
     dim_publisher = build_publishers(lookup, opts)
     return {
         "dim_book": build_books(books),

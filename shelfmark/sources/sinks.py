@@ -118,12 +118,14 @@ def conform_schema(df: DataFrame, table: TableDef | str, by_position: bool = Tru
 
 
 def save_star_tables(spark: SparkSession, tables: Mapping[str, DataFrame], database: str,
-                     buckets: int = 0) -> None:
-    """S12. Drop and recreate the eight tables as managed tables.
-
-    The warehouse's distribution key becomes bucketing of the fact and time
-    dimension on ``checkout_datetime`` (co-located join, no shuffle); its sort
-    key becomes the bucket sort order; replicated tables stay plain (they are
+                     buckets: int = 0, location: str | None = None) -> None:
+    """S12. Drop and recreate the given star tables, managed or at ``location``
+    (a path with ``{}`` for the table's name).
+
+    The warehouse's distribution key becomes bucketing (fact and time dimension on
+    ``checkout_datetime``: their join needs no shuffle).  Rows are dealt by the
+    same hash before the write, so a bucket is one file however many tasks there are, and its order, the sort
+    key's, can be used.  Replicated tables are sorted, unbucketed (they are
     broadcast at query time by size)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, df in tables.items():
@@ -131,9 +133,16 @@ def save_star_tables(spark: SparkSession, tables: Mapping[str, DataFrame], datab
             continue
         t = STAR[name]
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        w = conform_schema(df, t, by_position=False).write.mode("overwrite").format("parquet")
+        df = conform_schema(df.select(*t.names), t, by_position=False)
+        order = t.sort_key or t.dist_key
         if buckets and t.dist_key:
-            w = w.bucketBy(buckets, t.dist_key).sortBy(t.sort_key or t.dist_key)
+            w = df.repartition(buckets, t.dist_key).write.bucketBy(buckets, t.dist_key).sortBy(order)
+        else:
+            df = df.hint("rebalance")
+            w = (df.sortWithinPartitions(order) if order else df).write
+        w = w.mode("overwrite").format("parquet")
+        if location:
+            w = w.option("path", location.format(name))
         w.saveAsTable(f"{database}.{name}")
 
 

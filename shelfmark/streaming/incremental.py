@@ -1,90 +1,129 @@
-"""Incremental checkout loads with Structured Streaming.
+"""Incremental loads with Structured Streaming.
 
-New checkout files land append-only in a folder.  A file-source stream picks
-them up; every micro-batch (``foreachBatch``):
+Two streams over landing folders, one of inventory files and one of checkout
+files, add to a warehouse folder (``sources.warehouse``).  Every micro-batch:
 
-1. keeps print-book checkouts and parses the time (same code as the batch ETL);
-2. appends checkout times not yet in the stored time dimension (anti join);
-3. appends fact rows: day temperature, publisher id through the stored book
-   lookup, md5 row id.
+books      keeps print books whose number is not stored, links the external
+           feed, gives new subjects, author names and publishers the ids after the largest
+           stored one (known keys keep theirs), and adds books, bridges and lookup rows;
+checkouts  builds fact rows with the stored publishers, drops those whose md5 id
+           occurs twice or is stored, and adds them and the times that are new.
 
-Each batch writes under ``.../batch=<id>`` with overwrite, so a batch that is
-re-run after an executor or driver failure replaces its own output instead of
-duplicating it; the anti join in step 2 ignores the batch's own earlier
-output for the same reason.  Offsets and commits live in ``checkpoint`` (a
-folder in the cluster's shared storage).
+Stored facts are read for that check only where year and month are those of the
+batch (partition pruning).  All tables of a batch become visible at once, when its version
+is published.  A batch that dies before is staged again from the start; one that dies
+after it is recognised by its number and left alone.  So a re-delivered file, a repeated
+row and a re-run batch all add nothing, and no id is given twice or skipped.
+
+Run the book stream before the checkout stream: a checkout of a book that is
+not stored yet gets no publisher, and keeps none.
 """
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfmark.plans.star import build_fact, build_time_dim, load_checkout_rows
+from shelfmark.functions.text import clean_publisher, normalize_text, split_list
+from shelfmark.operators.keys import append_new_keys
+from shelfmark.operators.relate import dedupe_by_key
+from shelfmark.plans.star import (StarOptions, book_author_names, build_book_authors, build_book_subjects, build_books,
+                                  build_fact, build_time_dim, link_external_books, load_checkout_rows, load_inventory_books,
+                                  publisher_lookup)
+from shelfmark.session import stored
+from shelfmark.sources import warehouse as W
+from shelfmark.sources.feeds import CHECKOUT_COLUMNS, INVENTORY_COLUMNS
 
 
 @dataclass(frozen=True)
-class IncrementalTargets:
-    fact_root: str           # fact_spl_book_checkout, batch=<id>/year=/month=
-    time_root: str           # dim_checkout_time, batch=<id>/
-    checkpoint: str          # stream offsets and commits
-
-
-def _read_batches(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.option("basePath", root).parquet(root)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":  # nothing written yet
-            return None
-        raise
-
-
-def load_batch(batch: DataFrame, batch_id: int, dictionary: DataFrame, weather: DataFrame,
-               lookup: DataFrame, dim_publisher: DataFrame, targets: IncrementalTargets) -> None:
-    """One micro-batch: append new time keys and fact rows (idempotent)."""
-    spark = batch.sparkSession
-    checkouts = load_checkout_rows(batch, dictionary).persist()
-    try:
-        times = build_time_dim(checkouts)
-        stored = _read_batches(spark, targets.time_root)
-        if stored is not None:
-            known = stored.filter(F.col("batch") != batch_id).select(F.col("checkout_datetime").alias("_known"))
-            times = times.join(known, F.col("checkout_datetime").eqNullSafe(F.col("_known")), "left_anti")
-        times.write.mode("overwrite").parquet(os.path.join(targets.time_root, f"batch={batch_id}"))
-
-        fact = build_fact(checkouts, weather, lookup, dim_publisher)
-        fact = fact.withColumn("year", F.year("checkout_datetime")).withColumn("month", F.month("checkout_datetime"))
-        (fact.hint("rebalance", "year", "month").write.mode("overwrite").partitionBy("year", "month")
-             .parquet(os.path.join(targets.fact_root, f"batch={batch_id}")))
-    finally:
-        checkouts.unpersist()
-
-
-def start_checkout_stream(spark: SparkSession, source: str, dictionary: DataFrame, weather: DataFrame,
-                          lookup: DataFrame, dim_publisher: DataFrame, targets: IncrementalTargets,
-                          available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream over CSV checkout files in ``source`` (header, all
-    strings).  ``available_now`` processes what is there and stops."""
-    from shelfmark.sources.feeds import CHECKOUT_COLUMNS
-    from pyspark.sql import types as T
-
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in CHECKOUT_COLUMNS])
+class Sides:
+    """The tables that a batch is joined with."""
+    dictionary: DataFrame
+    weather: DataFrame
+    external: DataFrame
+    name_map: DataFrame | None = None
+    options: StarOptions = StarOptions()
+
+
+def _new(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not known; NULL is a key."""
+    return rows.join(known.select(F.col(key).alias("_known")), F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+
+
+def add_books(spark: SparkSession, root: str, books: DataFrame, batch_id: int, sides: Sides, stream: str = "books") -> bool:
+    """Print books (B1 rows) of one batch: new books, keys and bridges.  False if the batch is in already."""
+    at = W.current(spark, root)
+    if at.batches.get(stream, -1) >= batch_id:
+        return False
+    opts = sides.options
+    new = stored(link_external_books(_new(books, W.read_table(spark, root, "dim_book", at), "bib_num"), sides.external, opts), "new-books")
+    subjects = new.select(F.explode(split_list("raw_subjects", opts.subject_delimiter)).alias("name")).distinct()
+    more_subjects, all_subjects = append_new_keys(W.read_table(spark, root, "dim_subject", at), subjects, "name")
+    names = book_author_names(new, opts).select("name", normalize_text("name").alias("key"))
+    authors = dedupe_by_key(names, ["key"], ["name"])
+    more_authors, all_authors = append_new_keys(W.read_table(spark, root, "_dim_author_keyed", at), authors, "key")
+    lookup = stored(publisher_lookup(new, sides.name_map), "new-lookup")
+    publishers = dedupe_by_key(lookup.select("key", "publisher"), ["key"], ["publisher"])
+    publishers = publishers.select("key", clean_publisher("publisher").alias("name"))
+    more_publishers, _ = append_new_keys(W.read_table(spark, root, "_dim_publisher_keyed", at), publishers, "key")
+    return W.append(spark, root, stream, batch_id, {
+        "dim_book": build_books(new), "dim_subject": more_subjects, "dim_author": more_authors, "dim_publisher": more_publishers,
+        "br_book_subject": build_book_subjects(new, all_subjects, opts), "br_book_author": build_book_authors(new, all_authors, opts),
+        "_dim_author_keyed": more_authors, "_dim_publisher_keyed": more_publishers, "_publisher_lookup": lookup})
+
+
+def add_checkouts(spark: SparkSession, root: str, checkouts: DataFrame, batch_id: int, sides: Sides, stream: str = "checkouts") -> bool:
+    """Checkouts (B2 rows) of one batch: new fact rows and times.  False if the batch is in already."""
+    at = W.current(spark, root)
+    if at.batches.get(stream, -1) >= batch_id:
+        return False
+    keyed = W.read_table(spark, root, "_dim_publisher_keyed", at)
+    lookup = W.read_table(spark, root, "_publisher_lookup", at)
+    fact = stored(dedupe_by_key(build_fact(checkouts, sides.weather, lookup, keyed), ["id"]), "batch-facts")
+    # as many values as the batch has months
+    when = F.struct(F.year("checkout_datetime").alias("y"), F.month("checkout_datetime").alias("m"))
+    months = [(r["y"], r["m"]) for r in fact.select(when.alias("w")).distinct().select("w.*").collect()]
+    ends = fact.agg(F.min("checkout_datetime").alias("lo"), F.max("checkout_datetime").alias("hi")).first()
+    same_month = F.lit(False)
+    for y, m in months:
+        same_month = same_month | (F.col("year").eqNullSafe(F.lit(y)) & F.col("month").eqNullSafe(F.lit(m)))
+    in_range = F.col("checkout_datetime").isNull() | F.col("checkout_datetime").between(F.lit(ends["lo"]), F.lit(ends["hi"]))
+    known = W.read_table(spark, root, W.FACT, at).where(same_month & in_range).select(F.col("id").alias("_id"))
+    new = stored(fact.join(known, fact.id == F.col("_id"), "left_anti"), "new-facts")
+    times = W.read_table(spark, root, "dim_checkout_time", at).where(in_range)
+    return W.append(spark, root, stream, batch_id, {
+        W.FACT: new, "dim_checkout_time": _new(build_time_dim(new), times, "checkout_datetime")})
+
+
+# ---- streams -----------------------------------------------------------------
+
+def _started(spark: SparkSession, source: str, columns: list[str], add: Callable[[DataFrame, int], object], checkpoint: str,
+             available_now: bool, max_files_per_trigger: int | None) -> StreamingQuery:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     reader = spark.readStream.schema(schema).option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source)
-    writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: load_batch(df, bid, dictionary, weather, lookup, dim_publisher, targets))
-              .option("checkpointLocation", targets.checkpoint))
+    writer = reader.csv(source).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def read_fact(spark: SparkSession, targets: IncrementalTargets) -> DataFrame | None:
-    """All loaded fact rows (batch, year and month are partition columns)."""
-    return _read_batches(spark, targets.fact_root)
+def start_book_stream(spark: SparkSession, source: str, root: str, sides: Sides, checkpoint: str, available_now: bool = True,
+                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Over CSV inventory files in ``source`` (header, all strings).  ``available_now`` processes what is there and stops."""
+    def add(batch: DataFrame, batch_id: int) -> None:
+        add_books(batch.sparkSession, root, load_inventory_books(batch, sides.dictionary), batch_id, sides)
+    return _started(spark, source, INVENTORY_COLUMNS, add, checkpoint, available_now, max_files_per_trigger)
+
+
+def start_checkout_stream(spark: SparkSession, source: str, root: str, sides: Sides, checkpoint: str, available_now: bool = True,
+                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Over CSV checkout files in ``source`` (header, all strings)."""
+    def add(batch: DataFrame, batch_id: int) -> None:
+        add_checkouts(batch.sparkSession, root, load_checkout_rows(batch, sides.dictionary), batch_id, sides)
+    return _started(spark, source, CHECKOUT_COLUMNS, add, checkpoint, available_now, max_files_per_trigger)
