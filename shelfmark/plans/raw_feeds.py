@@ -128,13 +128,24 @@ def gazetteer(spark: SparkSession, d: str) -> DataFrame:
         return materialize(feeds.read_gazetteer(spark, root))
 
 
+def _named(spark: SparkSession, folder: str, target: str) -> None:
+    """The part files below ``<folder>/file_key=<key>/`` as ``<target>/<key>_<n>.json``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(target))
+    for part in fs.globStatus(hadoop.Path(folder, "file_key=*/part-*")):
+        path = part.getPath()
+        key = path.getParent().getName().removeprefix("file_key=")
+        fs.rename(path, hadoop.Path(target, f"{key}_{path.getName().split('-')[1]}.json"))
+
+
 def json_map_files(spark: SparkSession, d: str) -> DataFrame:
-    """S5 in its file-key form: one JSON object a file, named by its key."""
+    """One JSON object a file, files named by their key."""
     e = table(spark, d, "events")
-    per = e.groupBy("event_type").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_set(F.struct(
+    per = e.groupBy(F.col("event_type").alias("file_key")).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_set(F.struct(
         F.unix_timestamp(F.date_trunc("day", "ts").cast("timestamp")).cast("string").alias("k"), F.col("event_type").alias("v")))))).alias("value"))
     with feed_folder(spark, "json-maps") as root:
-        # the folder of each value is moved into the file name that the reader takes the key from
-        per.repartition("event_type").write.partitionBy("event_type").text(root)
-        files = spark.read.text(root, wholetext=True)
-        return materialize(feeds.explode_json_map(files.withColumnRenamed("event_type", "file_key"), "file_key", "value"))
+        per.repartition("file_key").write.partitionBy("file_key").text(os.path.join(root, "parts"))
+        _named(spark, os.path.join(root, "parts"), os.path.join(root, "files"))
+        return stored(feeds.read_json_map_files(spark, os.path.join(root, "files")), "json-maps")

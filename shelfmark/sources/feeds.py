@@ -34,11 +34,16 @@ EXTERNAL_BOOK_SCHEMA = T.StructType([
 ])
 
 
-def read_header_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+#: Quotes inside quoted fields are doubled, as library exports write them.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
+
+def read_header_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """S1. Header CSV, every column a string.  ``path`` may be a glob (one file
     per year).  With ``columns`` the schema is fixed up front, so no header
-    sampling job runs."""
-    reader = spark.read.option("header", "true").option("mode", "PERMISSIVE")
+    sampling job runs.  ``multi_line`` is for files whose quoted fields hold line
+    breaks; such a file is read by one task."""
+    reader = spark.read.options(**CSV_OPTIONS).option("header", "true").option("mode", "PERMISSIVE").option("multiLine", str(multi_line).lower())
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return reader.csv(path)
@@ -47,7 +52,7 @@ def read_header_csv(spark: SparkSession, path: str, columns: list[str] | None =
 def load_external_books(spark: SparkSession, path: str) -> DataFrame:
     """S2. External book feed: 12 typed fields, padded header renamed,
     ``M/d/yyyy`` date parsed to a timestamp (NULL when malformed)."""
-    df = spark.read.schema(EXTERNAL_BOOK_SCHEMA).option("header", "true").csv(path)
+    df = spark.read.options(**CSV_OPTIONS).schema(EXTERNAL_BOOK_SCHEMA).option("header", "true").csv(path)
     return (df.withColumn("publication_date", parse_timestamp("publication_date", EXTERNAL_DATE_FORMAT))
               .withColumnRenamed("  num_pages", "num_pages"))
 
@@ -56,7 +61,7 @@ def load_name_map(spark: SparkSession, path: str, raw: str = "publisher",
                   official: str = "official_publisher") -> DataFrame:
     """S3. Headerless two-column CSV (raw name, official name)."""
     schema = T.StructType([T.StructField(raw, T.StringType()), T.StructField(official, T.StringType())])
-    return spark.read.schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 
 def load_weather(spark: SparkSession, path: str) -> DataFrame:

@@ -94,8 +94,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
 
 def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> None:
     """S11. CSV writer (the name map is written headerless); blanks at the
-    ends of a value are kept."""
-    (df.write.mode(mode).option("header", str(header).lower()).option("ignoreLeadingWhiteSpace", "false")
+    ends of a value are kept, quotes inside a value are doubled."""
+    (df.write.mode(mode).option("escape", '"').option("header", str(header).lower()).option("ignoreLeadingWhiteSpace", "false")
      .option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 

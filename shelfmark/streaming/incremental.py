@@ -37,7 +37,7 @@ from shelfmark.plans.star import (StarOptions, book_author_names, build_book_aut
                                   publisher_lookup)
 from shelfmark.session import stored
 from shelfmark.sources import warehouse as W
-from shelfmark.sources.feeds import CHECKOUT_COLUMNS, INVENTORY_COLUMNS
+from shelfmark.sources.feeds import CHECKOUT_COLUMNS, CSV_OPTIONS, INVENTORY_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -105,7 +105,7 @@ def add_checkouts(spark: SparkSession, root: str, checkouts: DataFrame, batch_id
 def _started(spark: SparkSession, source: str, columns: list[str], add: Callable[[DataFrame, int], object], checkpoint: str,
              available_now: bool, max_files_per_trigger: int | None) -> StreamingQuery:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.readStream.schema(schema).option("header", "true")
+    reader = spark.readStream.options(**CSV_OPTIONS).schema(schema).option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     writer = reader.csv(source).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
