@@ -2,9 +2,9 @@
 
 Documents arrive in batches of growing id.  The distinct line keys of a batch
 are merge-anti-joined with every run seen so far; what is left is new, and is
-stored as a run of its own: a table of (hash, owner) bucketed and sorted by hash,
-so that later anti-joins read it without a shuffle.  When a level
-holds ``fanout`` runs they are compacted into one run of the next level, so n
+stored as a run of its own: a table of (hash, owner) dealt into buckets of one sorted file
+each, whose order the scans report, so that later anti-joins merge it without a shuffle and without a sort.  When a level
+holds ``fanout`` runs they are merged, bucket by bucket, into one run of the next level, so n
 batches leave O(log n) runs.  A line is dropped if its key is in an earlier
 run, or is owned by a smaller id of its own batch.
 
@@ -31,6 +31,7 @@ MIN_KEY_CHARS = 10
 BATCHES = 4
 FANOUT = 2
 KEY = ["_h1", "_h2"]
+SCAN_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 class LineRuns:
@@ -38,14 +39,18 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT):
         self.spark, self.fanout, self.levels = spark, fanout, [[]]
+        self.order_before = spark.conf.get(SCAN_ORDER, None)
+        spark.conf.set(SCAN_ORDER, "true")  # Spark checks that every bucket is one file
         self.buckets = shuffle_partitions(spark)
         self.name = f"line_run_{uuid.uuid4().hex[:12]}"
         self.made = 0
 
     def _store(self, keys: DataFrame) -> str:
+        """``keys`` are dealt by hash of KEY already, by their aggregate or by the buckets
+        they come from: every task writes whole buckets."""
         self.made += 1
         table = f"{self.name}_{self.made}"
-        (keys.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY)
+        (keys.write.bucketBy(self.buckets, *KEY).sortBy(*KEY)
          .saveAsTable(table, format="parquet"))
         return table
 
@@ -73,9 +78,7 @@ class LineRuns:
         level = 0
         while len(self.levels[level]) >= self.fanout:
             old, self.levels[level] = self.levels[level], []
-            merged = self.spark.table(old[0])
-            for t in old[1:]:
-                merged = merged.unionByName(self.spark.table(t))
+            merged = self.merged(old)
             if level + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[level + 1].append(self._store(merged))
@@ -83,7 +86,16 @@ class LineRuns:
                 self.spark.sql(f"DROP TABLE {t}")
             level += 1
 
+    def merged(self, tables: list[str]) -> DataFrame:
+        """The rows of runs, which have no key in common, by a merge join of their sorted buckets."""
+        out = self.spark.table(tables[0])
+        for t in tables[1:]:
+            out = (out.join(self.spark.table(t).withColumnRenamed("_owner", "_other"), KEY, "full_outer")
+                   .select(*KEY, F.coalesce("_owner", "_other").alias("_owner")))
+        return out
+
     def drop(self) -> None:
+        self.spark.conf.unset(SCAN_ORDER) if self.order_before is None else self.spark.conf.set(SCAN_ORDER, self.order_before)
         for t in (t for level in self.levels for t in level):
             self.spark.sql(f"DROP TABLE {t}")
         self.levels = [[]]

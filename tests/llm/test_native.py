@@ -147,3 +147,32 @@ def test_kept_hash(spark):
     docs = spark.createDataFrame([(1, "a line that is long\nx"), (2, "A LINE that is long")], "doc_id bigint, text string")
     got = {r["doc_id"]: hashlib.sha256(r["_kept"].encode()).hexdigest() for r in line_dedup.dedupe_lines(docs).collect()}
     assert got[2] == hashlib.sha256(b"").hexdigest()
+
+
+def test_runs_are_merged_in_their_stored_order(spark):
+    """Neither the anti-join with a run nor the merge of runs shuffles or sorts what is stored."""
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", line_dedup.SCAN_ORDER)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    runs = line_dedup.LineRuns(spark)
+    try:
+        lines = spark.range(4000).select(F.xxhash64("id").alias("_h1"), F.hash("id").cast("long").alias("_h2"), F.col("id").alias("_id"))
+        batch = lambda low, high: lines.where(f"_id >= {low} and _id < {high}").groupBy(*line_dedup.KEY).agg(F.min("_id").alias("_owner"))
+        first, second = runs._store(batch(0, 1500)), runs._store(batch(1500, 3000))
+        merged = runs.merged([first, second])
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan, plan
+        fresh = batch(2000, 4000).join(spark.table(first).select(*line_dedup.KEY), line_dedup.KEY, "left_anti")
+        fresh = fresh.join(spark.table(second).select(*line_dedup.KEY), line_dedup.KEY, "left_anti")
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1, plan  # the new batch, once
+        both = runs._store(merged)
+        assert spark.table(both).count() == 3000 and len(spark.table(both).inputFiles()) <= runs.buckets
+        assert sorted(r["_owner"] for r in fresh.collect()) == list(range(3000, 4000))
+        for t in (first, second, both):
+            spark.sql(f"DROP TABLE {t}")
+    finally:
+        runs.drop()
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert spark.conf.get(line_dedup.SCAN_ORDER, None) == before[line_dedup.SCAN_ORDER]
