@@ -10,7 +10,7 @@ windows behind a hit are extended, that is compared word for word.  Items
 shorter than WINDOW are fingerprinted by their whole length, one gram size per
 length that occurs (at most WINDOW - 1).
 
-The benchmark's fingerprints and windows are each broadcast only when their counted bytes are
+The benchmark's fingerprints and windows, and the marks of rows that hold a fingerprint, are each broadcast only when their counted bytes are
 at most ``BROADCAST_BYTES``; beyond that both sides are shuffled
 and adaptive execution splits hot fingerprints.
 
@@ -95,6 +95,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
              .select(*KEY, F.explode(runs).alias("_r")).select(*KEY, "_r", F.col("_r.fp").alias("_fp"), F.col("_r.len").alias("_len"))
              .join(_maybe_broadcast(prints, 12 * known["n"]), ["_fp", "_len"], "left_semi")
              .groupBy(*KEY).agg(F.collect_set(F.struct("_r.len", "_r.start", "_r.stop")).alias("_runs")))
+    marks = written(marks, "benchmark-marks")
+    size = marks.agg(F.coalesce(F.sum(24 + 12 * F.size("_runs")), F.lit(0))).first()[0]
 
     def starts(w: Column) -> Column:
         spread = F.flatten(F.transform(F.col("_runs"), lambda r: F.transform(
@@ -103,16 +105,16 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
             x["len"].alias("len"), x["start"].alias("start"),
             F.array_join(F.slice(w, x["start"] + 1, x["len"]), " ").alias("window")))
 
-    per_row = written(
-        rows.join(marks, KEY, "left").select(*KEY, "_runs", plain_words(F.col("_text")).alias("_w"))
-        .select(*KEY, F.size("_w").cast("long").alias("_n_words"),
-                F.when(F.col("_runs").isNotNull(), let(F.col("_w"), starts)).alias("_at")), "benchmark-hits")
-    matched = (per_row.where(F.col("_at").isNotNull()).select(*KEY, F.explode("_at").alias("_a"))
+    # only rows with a mark meet their words again; marks go to the texts, not texts to the marks, while they are small
+    marked = rows.join(_maybe_broadcast(marks, size), KEY).select(*KEY, "_runs", plain_words(F.col("_text")).alias("_w"))
+    spans = written(marked.select(*KEY, let(F.col("_w"), starts).alias("_at")), "benchmark-hits")
+    per_row = rows.select(*KEY, F.size(plain_words(F.col("_text"))).cast("long").alias("_n_words")).distinct()
+    matched = (spans.select(*KEY, F.explode("_at").alias("_a"))
                .select(*KEY, F.col("_a.start").alias("_start"), F.col("_a.len").alias("_len"), F.col("_a.window").alias("_window"))
                .distinct()
                .join(_maybe_broadcast(windows.select("_len", "_window", "_item"), known["bytes"] + 32 * known["n"]), ["_len", "_window"])
                .select(*KEY, "_start", "_len", "_item"))
-    return per_row.select(*KEY, "_n_words").distinct(), matched
+    return per_row, matched
 
 
 def _covered(spans: Column) -> Column:
