@@ -3,16 +3,15 @@
 A licence notice is found in a text by aligning words: anchors are the words
 that occur once in both sides; the longest increasing run of anchors is kept, the
 gaps between neighbouring anchors are aligned in the same way, and ends that
-match word by word are added.  Where that pairs fewer words than the longest common subsequence has (no
-anchors, or anchors that cross), the latter is the alignment.  Coverage is the share of the notice's
-words that are aligned.
+match word by word are added.  A gap without anchors is aligned by its longest common subsequence.  Coverage is the
+share of the notice's words that are aligned.
 
 A place of a notice is a stretch of the text of at most SPREAD times the notice's
-length whose alignment covers at least MIN_COVERAGE.  Stretches start at an
+length whose alignment covers at least MIN_COVERAGE.  Stretches are proposed by a bound: they start at an
 occurrence of one of the notice's first words, wherever it stands, and end where
-the longest common subsequence with the notice (counted bit-parallel) stops growing, so words put between those of the
-notice neither cut it nor change its coverage.  The best place is taken first (coverage, then
-fewer words spanned, then the earlier one), and the text on both its sides is searched on.
+the longest common subsequence with the notice (counted bit-parallel), which no alignment exceeds, stops growing; so words put between those of the
+notice neither cut it nor change its coverage.  The stretch of the highest bound is aligned first (then of
+fewer words spanned, then the earlier one), and the text on both sides of a place is searched on.
 
 Every notice is returned at every place; of overlapping ones the best decides.  VERSIONS
 names the other versions of each family, since a notice of another version can reach MIN_COVERAGE too.
@@ -170,6 +169,7 @@ def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
         place = {b[j]: j for j in range(b0, b1) if in_b[b[j]] == 1}
         anchors = _increasing([(i, place[a[i]]) for i in range(a0, a1) if in_a[a[i]] == 1 and a[i] in place])
         if not anchors:
+            out.extend((a0 + i, b0 + j) for i, j in _common(a[a0:a1], b[b0:b1]))
             continue
         out.extend(anchors)
         edges = [(a0 - 1, b0 - 1), *anchors, (a1, b1)]
@@ -219,7 +219,7 @@ def places(words: list[str], notice: list[str], min_coverage: float = MIN_COVERA
     heapify(heap)
     taken: list[tuple[int, int, int]] = []  # (first word, place after the last, words aligned), sorted
     while heap:
-        low, span, start, k = heappop(heap)
+        _, span, start, k = heappop(heap)
         after = bisect_left(taken, (start + 1,))
         if after and taken[after - 1][1] > start:
             continue
@@ -228,10 +228,9 @@ def places(words: list[str], notice: list[str], min_coverage: float = MIN_COVERA
             if length >= need:
                 heappush(heap, (-length, end - start, start, k))
             continue
-        stretch = words[start:start + span]
-        pairs = aligned(stretch, notice)
-        if len(pairs) < -low:
-            pairs = _common(stretch, notice)
+        pairs = aligned(words[start:start + span], notice)
+        if len(pairs) < need:
+            continue
         taken.insert(after, (start + pairs[0][0], start + pairs[-1][0] + 1, len(pairs)))
     return [(n / m, start, end - start) for start, end, n in taken]
 

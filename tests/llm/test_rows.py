@@ -167,21 +167,57 @@ def test_inserted_words_do_not_hide_a_notice(name):
             assert found == (name, 1.0, before, len(text)), (before, text)
 
 
+def patience(a, b):
+    """Words aligned, by the definition: matching ends, then anchors and the gaps between them, else the longest common subsequence."""
+    if not a or not b:
+        return 0
+    if a[0] == b[0]:
+        return 1 + patience(a[1:], b[1:])
+    if a[-1] == b[-1]:
+        return 1 + patience(a[:-1], b[:-1])
+    once = [(i, b.index(w)) for i, w in enumerate(a) if a.count(w) == b.count(w) == 1]
+    if not once:
+        return len(licenses._common(a, b))
+    run = licenses._increasing(once)  # held against all subsets above
+    edges = [(-1, -1), *run, (len(a), len(b))]
+    return len(run) + sum(patience(a[p + 1:i], b[q + 1:j]) for (p, q), (i, j) in zip(edges, edges[1:]))
+
+
+def test_alignment_is_the_recursion():
+    import random
+    rng = random.Random(6)
+    shorter = 0
+    for _ in range(400):
+        a, b = (rng.choices("abcdefghi", k=rng.randrange(14)) for _ in range(2))
+        pairs = licenses.aligned(a, b)
+        assert len(pairs) == patience(a, b) and all(a[i] == b[j] for i, j in pairs)
+        assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:]))
+        shorter += len(pairs) < len(licenses._common(a, b))
+    assert shorter  # crossing anchors cost words, by the method
+
+
 def test_places_by_brute_force():
     import random
     rng = random.Random(5)
     notice = "a b c a d e f b".split()
     for _ in range(300):
         words = rng.choices("abcdefxyz", k=rng.randrange(60))
-        got, left = licenses.places(words, notice, 0.75, 2), [(0, len(words))]
-        want = []
-        while left:  # the best stretch of all, then what lies on both its sides
+        got, left, failed, want = licenses.places(words, notice, 0.75, 2), [(0, len(words))], set(), []
+        while left:  # the stretch of the highest bound that aligns well enough, then what lies on both its sides
             low, high = left.pop()
-            found = [(-len(licenses._common(words[i:j], notice)), j - i, i) for i in range(low, high) for j in range(i + 1, min(high, i + 16) + 1)]
-            n, span, i = min(found, default=(0, 0, 0))
-            if -n >= 6:
-                want.append((-n / 8, i, span))
-                left += [(low, i), (i + span, high)]
+            found = []
+            for i in range(low, high):
+                best = min(((-len(licenses._common(words[i:j], notice)), j - i, i) for j in range(i + 1, min(high, i + 16) + 1)), default=(0, 0, 0))
+                if -best[0] >= 6 and i not in failed:
+                    found.append(best)
+            for _, span, i in sorted(found):
+                pairs = licenses.aligned(words[i:i + span], notice)
+                if len(pairs) >= 6:
+                    first, end = i + pairs[0][0], i + pairs[-1][0] + 1
+                    want.append((len(pairs) / 8, first, end - first))
+                    left += [(low, first), (end, high)]
+                    break
+                failed.add(i)
         assert got == sorted(want, key=lambda x: x[1])
 
 
