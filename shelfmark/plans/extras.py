@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfmark.functions.phonetic import double_metaphone, sounds_alike
 from shelfmark.functions.text import format_person_name
-from shelfmark.operators import markup, profile, sampling, sketches
+from shelfmark.operators import markup, match, profile, sampling, sketches
 from shelfmark.plans import catalog as C
 from shelfmark.plans import oracle as O
-from shelfmark.plans.registry import _DECODE, register
+from shelfmark.plans.registry import _DECODE, _gazetteer, _raw_names, register
 from shelfmark.session import remove_path, scratch_path, stored
 from shelfmark.sources.tables import table
 
@@ -88,3 +89,12 @@ def q_html_nested_links(spark, d):
     pages = items.groupBy("page_id").agg(F.concat(F.any_value("head"), F.array_join(F.transform(ordered, lambda x: x["item"]), ""), F.any_value("tail")).alias("html"))
     links, _ = markup.nested_list_links(pages, "page_id", "html", tag="div", css_class="box")
     return links
+
+
+@register("metaphone_pairs")
+def q_metaphone_pairs(spark, d):
+    """The search's candidate pairs with their sound codes; SQL has none, tests hold the codes against worked names."""
+    names = _raw_names(spark, d).select(F.col("raw_name").alias("name")).distinct()
+    pairs = match.match_candidates(names, _gazetteer(spark, d), "name", "official").select("name", "official")
+    coded = pairs.select("name", "official", double_metaphone("name").alias("a"), double_metaphone("official").alias("b"))
+    return coded.select("name", "official", "a.primary", "a.secondary", sounds_alike(F.col("a"), F.col("b")).alias("alike"))

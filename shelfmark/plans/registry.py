@@ -39,6 +39,8 @@ from shelfmark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Registered without SQL, tested on worked examples.
+WITHOUT_SQL = {"metaphone_pairs"}
 ORACLE: dict[str, str] = {}
 
 
