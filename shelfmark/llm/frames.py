@@ -28,11 +28,13 @@ _made: list[str] = []
 def scratch_scope(spark: SparkSession, keep: int = 1) -> Iterator[None]:
     """Tables written inside are removed at the end, but for the last ``keep``."""
     start = len(_made)
-    yield
-    stop = max(start, len(_made) - keep)
-    for path in _made[start:stop]:
-        remove_path(spark, path)
-    del _made[start:stop]
+    try:
+        yield
+    finally:
+        stop = max(start, len(_made) - keep)
+        for path in _made[start:stop]:
+            remove_path(spark, path)
+        del _made[start:stop]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

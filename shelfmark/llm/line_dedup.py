@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfmark.llm.frames import identified, own_columns, shuffle_partitions, with_identity, written
 from shelfmark.llm.native_text import let, lower_az, strip_white
+from shelfmark.session import remove_path, scratch_path
 
 MIN_KEY_CHARS = 10
 BATCHES = 4
@@ -35,7 +36,7 @@ SCAN_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 class LineRuns:
-    """The runs, by level; every run is a bucketed table of the warehouse."""
+    """The runs, by level; every run is a bucketed table whose files lie in the shared folder."""
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT):
         self.spark, self.fanout, self.levels = spark, fanout, [[]]
@@ -44,16 +45,22 @@ class LineRuns:
         self.buckets = shuffle_partitions(spark)
         self.name = f"line_run_{uuid.uuid4().hex[:12]}"
         self.made = 0
+        self.paths: dict[str, str] = {}
 
     def _store(self, keys: DataFrame) -> str:
         """``keys`` are dealt by hash of KEY already, by their aggregate or by the buckets
         they come from: every task writes whole buckets."""
         self.made += 1
         table = f"{self.name}_{self.made}"
-        (keys.write.bucketBy(self.buckets, *KEY).sortBy(*KEY)
+        self.paths[table] = scratch_path(self.spark, table)
+        (keys.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", self.paths[table])
          .saveAsTable(table, format="parquet"))
         return table
 
+    def _forget(self, table: str) -> None:
+        self.spark.sql(f"DROP TABLE {table}")
+        remove_path(self.spark, self.paths.pop(table))
+
     def add(self, lines: DataFrame) -> DataFrame:
         """Add a batch of lines (_id, _th, _pos, _h1, _h2), all of larger ids
         than those before; returns the lines (_id, _th, _pos) to drop."""
@@ -62,8 +69,7 @@ class LineRuns:
             fresh = fresh.join(self.spark.table(run).select(*KEY), KEY, "left_anti")
         own = self._store(fresh)
         # as files, not as a bucketed table: both sides are shuffled then, and a hot line is split
-        owners = self.spark.read.parquet(*self.spark.table(own).inputFiles()) if self._has_files(own) else \
-            self.spark.table(own)
+        owners = self.spark.read.schema(fresh.schema).parquet(self.paths[own])
         dropped = written(
             lines.join(owners, KEY, "left").where(F.col("_owner").isNull() | (F.col("_id") > F.col("_owner")))
             .select("_id", "_th", "_pos"), "line-drops")
@@ -71,9 +77,6 @@ class LineRuns:
         self._compact()
         return dropped
 
-    def _has_files(self, table: str) -> bool:
-        return bool(self.spark.table(table).inputFiles())
-
     def _compact(self) -> None:
         level = 0
         while len(self.levels[level]) >= self.fanout:
@@ -83,7 +86,7 @@ class LineRuns:
                 self.levels.append([])
             self.levels[level + 1].append(self._store(merged))
             for t in old:
-                self.spark.sql(f"DROP TABLE {t}")
+                self._forget(t)
             level += 1
 
     def merged(self, tables: list[str]) -> DataFrame:
@@ -97,7 +100,7 @@ class LineRuns:
     def drop(self) -> None:
         self.spark.conf.unset(SCAN_ORDER) if self.order_before is None else self.spark.conf.set(SCAN_ORDER, self.order_before)
         for t in (t for level in self.levels for t in level):
-            self.spark.sql(f"DROP TABLE {t}")
+            self._forget(t)
         self.levels = [[]]
 
 

@@ -13,8 +13,11 @@ probability 3e-7).  A band group is never expanded into all its pairs: in each o
 PIVOT_ROUNDS rounds every group compares its members with one pivot, all pairs
 are verified together, and groups whose members are in one component are
 settled.  In what is left, groups of at most SMALL_GROUP members compare the
-pairs of different components, and larger groups hold the members outside
-their largest component against all members, in blocks; so no pair that shares
+pairs of different components.  Larger groups (texts from one template share bands without being near) are
+grouped anew by their sets' rarest shingles: two sets at the threshold share one of the first
+size - ceil(0.85 size) + 1 in any common order, so groups by these lose no pair, and a shingle of the
+template is not among them.  Those groups are compared like the others; the few that are still large hold the members outside
+their largest component against all members, in blocks.  So no pair that shares
 a band goes unseen unless it is already connected.  Pairs whose collision-corrected
 estimate is five standard errors below the threshold are left out; the others
 are confirmed on the full sets.  Components: alternating star contraction.
@@ -213,6 +216,25 @@ def _small_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
                   & (F.col("x._root") != F.col("y._root"))).select(F.col("x._node").alias("a"), F.col("y._node").alias("b"))
 
 
+def _sized(members: DataFrame) -> DataFrame:
+    """Written: (_band, g: members, _main: the largest component) of every group."""
+    per_root = members.groupBy("_band", "_root").agg(F.count("*").alias("n"))
+    return written(per_root.groupBy("_band").agg(F.sum("n").alias("g"), F.max(F.struct("n", "_root"))["_root"].alias("_main")),
+                   "group-sizes", narrow=True)
+
+
+def _by_rare_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Written: (_band: a shingle, _node): every set's rarest shingles that another of the sets holds, as many as
+    two sets at the threshold must share one of."""
+    rows = sets.join(nodes, "_node").select("_node", F.explode("_set").alias("_shingle"))
+    often = written(rows.groupBy("_shingle").agg(F.count("*").alias("_df")), "shingle-counts")
+    n = F.size("_s").cast("long")
+    first = n - F.ceil(n * THRESHOLD / 100) + 1
+    ranked = (rows.join(often, "_shingle").groupBy("_node").agg(F.array_sort(F.collect_list(F.struct("_df", "_shingle"))).alias("_s"))
+              .select("_node", F.explode(F.slice("_s", F.lit(1), first.cast("int"))).alias("_x")))
+    return written(ranked.where("_x._df > 1").select(F.col("_x._shingle").alias("_band"), "_node"), "rare-shingles")
+
+
 def _block_links(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links inside larger groups: the members outside a group's largest
     component are held against all its members, block by block.  A block holds
@@ -287,9 +309,13 @@ def links(sketches: DataFrame, sets_of) -> DataFrame | None:
         members = _unsettled(_labelled(rest, roots))
         if members.isEmpty():
             return found
-    per_root = members.groupBy("_band", "_root").agg(F.count("*").alias("n"))
-    sizes = written(per_root.groupBy("_band").agg(F.sum("n").alias("g"), F.max(F.struct("n", "_root"))["_root"].alias("_main")),
-                    "group-sizes", narrow=True)
+    sizes = _sized(members)
+    found = found.unionByName(_linked(_small_pairs(members, sizes), sketches, sets))
+    large = members.join(sizes.where(F.col("g") > SMALL_GROUP).select("_band"), "_band", "left_semi")
+    members = _unsettled(_labelled(_by_rare_shingles(large.select("_node").distinct(), sets), roots))
+    if members.isEmpty():
+        return found
+    sizes = _sized(members)
     return (found.unionByName(_linked(_small_pairs(members, sizes), sketches, sets))
             .unionByName(_block_links(members, sizes, sets)))
 

@@ -68,6 +68,40 @@ def test_same_groups_as_all_pairs(spark, awkward, monkeypatch, small_group):
     assert got(docs) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("small_group", [32, 2])
+def test_templates_are_no_near_copies(spark, monkeypatch, small_group):
+    """Texts that share most of their words, some of them near copies of each other."""
+    monkeypatch.setattr(near_dup, "SMALL_GROUP", small_group)
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    rng = random.Random(8)
+    texts = []
+    for k in range(90):
+        common = passage(70, 70 if k % 2 else 95)
+        own = " ".join(f"own{k}x{j}" for j in range(30 if k % 2 else 12))
+        texts.append(f"{common} {own}")
+        if k % 9 == 0:
+            texts += family(rng, texts[-1], 2, 2)
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert got(docs) == brute(list(enumerate(texts)))
+
+
+def test_rare_shingles_lose_no_pair(spark):
+    """Any two sets at the threshold share one of the rarest shingles that are kept of each."""
+    rng = random.Random(3)
+    sets = {}
+    for k in range(60):
+        base = sets[rng.randrange(k)] if k and rng.random() < 0.6 else rng.sample(range(400), rng.randint(1, 60))
+        sets[k] = sorted({x if rng.random() < 0.95 else rng.randrange(400) for x in base})
+    frame = spark.createDataFrame(list(sets.items()), "_node bigint, _set array<bigint>")
+    kept = {k: set() for k in sets}
+    for r in near_dup._by_rare_shingles(frame.select("_node"), frame).collect():
+        kept[r["_node"]].add(r["_band"])
+    near = [(a, b) for a in sets for b in range(a) if 100 * len(set(sets[a]) & set(sets[b])) >= 85 * len(set(sets[a]) | set(sets[b]))]
+    assert near and all(kept[a] & kept[b] for a, b in near)
+    assert sum(map(len, kept.values())) < 0.3 * sum(map(len, sets.values()))
+
+
 def test_keep_one(awkward, nothing):
     kept = near_dup.keep_one(awkward)
     assert kept.columns == awkward.columns

@@ -170,7 +170,8 @@ def test_runs_are_merged_in_their_stored_order(spark):
         assert spark.table(both).count() == 3000 and len(spark.table(both).inputFiles()) <= runs.buckets
         assert sorted(r["_owner"] for r in fresh.collect()) == list(range(3000, 4000))
         for t in (first, second, both):
-            spark.sql(f"DROP TABLE {t}")
+            runs._forget(t)
+        assert not runs.paths
     finally:
         runs.drop()
         for k, v in before.items():
