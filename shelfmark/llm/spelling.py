@@ -92,9 +92,10 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def sorted_rotations(symbols: np.ndarray) -> np.ndarray:
     """Starts of the rotations of a text (all different) in sorted order, by prefix doubling."""
-    rank, k = np.zeros(len(symbols), np.int64), 8
-    for shift in range(k):  # symbols are below 128
-        rank = rank << 7 | np.roll(symbols, -shift)
+    bits = max(1, int(symbols.max()).bit_length())
+    rank, k = np.zeros(len(symbols), np.int64), max(1, 62 // bits)
+    for shift in range(k):
+        rank = rank << bits | np.roll(symbols, -shift)
     while True:
         order = np.argsort(rank, kind="stable")
         ordered = rank[order]

@@ -80,8 +80,9 @@ def test_schemes_find_each_near_word_once(letters):
 def test_rotations_are_sorted():
     import numpy as np
     text = np.array([0, 3, 1, 0, 3, 1, 1, 0, 2, 3, 1, 3, 1, 3, 1, 3, 1, 3, 1, 3, 1])
-    want = sorted(range(len(text)), key=lambda k: [*text[k:], *text[:k]])
-    assert spelling.sorted_rotations(text).tolist() == want
+    for text in (text, text * 300, np.array([0, 1])):  # of few and of many symbols
+        want = sorted(range(len(text)), key=lambda k: [*text[k:], *text[:k]])
+        assert spelling.sorted_rotations(text).tolist() == want
 
 
 def test_runs_and_parts(spark, monkeypatch):
