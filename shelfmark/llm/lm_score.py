@@ -45,7 +45,7 @@ PAIR_ROWS = (CLASSES + 1) ** 2  # one more class stands for places before a text
 FEATURE_ROWS = PAIR_ROWS + 2 * WORD_ROWS
 KNOWN = 100_000
 SLOTS = 1 << 20
-ROUNDS = 2
+ROUNDS = 1
 MINI_BATCH = 8192
 LONG_RUN = 32  # rows of one feature in a mini-batch that are summed on their own
 RATE = 0.3
