@@ -66,6 +66,7 @@ def test_query_matches_oracle_and_plan_is_clean(spark, con, name):
 
 def test_writers_take_more_tasks_for_more_rows(spark, monkeypatch):
     import os
+    import re
 
     from shelfmark.plans import raw_feeds
     tasks = {}
@@ -75,8 +76,9 @@ def test_writers_take_more_tasks_for_more_rows(spark, monkeypatch):
 
         def remove_path(session, path):
             local = path.removeprefix("file:")
-            names = [f for _, _, files in os.walk(local) for f in files if f.startswith("part-")]
-            tasks.setdefault(module.__name__, set()).update(f.split("-")[1] for f in names)
+            # part-<task>-..., or <key>_<task>.json once a file has the name of its key
+            found = [re.match(r"(?:part-|[^_.]+_)(\d{5})(?:-|\.json$)", f) for _, _, files in os.walk(local) for f in files]
+            tasks.setdefault(module.__name__, set()).update(m[1] for m in found if m)
             remove(session, path)
         monkeypatch.setattr(module, "remove_path", remove_path)
 
