@@ -19,7 +19,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.plans.star import StarOptions, build_star_from_books, link_external_books, warehouse_tables
+from shelfmark.plans.star import StarOptions, build_star_from_books, late_columns, link_external_books, warehouse_tables
 from shelfmark.session import remove_at_exit, scratch_path
 from shelfmark.sources.sinks import STAR, write_star
 from shelfmark.sources.tables import table
@@ -149,7 +149,7 @@ def star(spark: SparkSession, d: str, opts: StarOptions = StarOptions()) -> dict
     if key not in _STAR_CACHE:
         built = build_star_from_books(linked_books(spark, d), checkouts(spark, d), weather(spark, d), None, opts)
         root = scratch_path(spark, "star")
-        write_star(warehouse_tables(built), root)
+        write_star(warehouse_tables(built), root, late=late_columns())
         remove_at_exit(spark, root)
         out = {k: v for k, v in built.items() if k.startswith("_")}
         for name in warehouse_tables(built):

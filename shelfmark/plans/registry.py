@@ -31,7 +31,7 @@ from shelfmark.plans import oracle as O
 from shelfmark.plans import raw_feeds as R
 from shelfmark.plans import star as S
 from shelfmark.plans.star import StarOptions, warehouse_tables
-from shelfmark.session import materialize, remove_path, scratch_path
+from shelfmark.session import materialize, remove_path, scratch_path, stored
 from shelfmark.sources.feeds import explode_json_map, extract_list_links, limit_rows
 from shelfmark.sources.sinks import STAR, conform_schema, write_parquet
 from shelfmark.sources import warehouse as W
@@ -231,7 +231,7 @@ SELECT c.*, CAST(w.temperature AS DOUBLE) AS temperature FROM co c
 LEFT JOIN weather w ON w.year = year(c.checkout_datetime) AND w.month = month(c.checkout_datetime)
                    AND w.day = day(c.checkout_datetime)""")
 def q_date_parts_join(spark, d):
-    return join_on_date_parts(C.checkouts(spark, d), "checkout_datetime", C.weather(spark, d),
+    return join_on_date_parts(C.checkouts(spark, d), "checkout_datetime", stored(C.weather(spark, d), "weather"),
                               columns=[F.col("temperature").cast("double").alias("temperature")])
 
 
@@ -608,7 +608,7 @@ def q_dim_from_lookup(spark, d):
 @register("fact_build", O.with_star("SELECT * FROM fact_spl_book_checkout"))
 def q_fact_build(spark, d):
     lookup = S.publisher_lookup(C.linked_books(spark, d), None)
-    return S.build_fact(C.checkouts(spark, d), C.weather(spark, d), lookup, S.build_publishers(lookup))
+    return S.build_fact(C.checkouts(spark, d), stored(C.weather(spark, d), "weather"), lookup, S.build_publishers(lookup))
 
 
 @register("incremental_keys", """

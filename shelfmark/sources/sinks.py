@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -74,18 +74,28 @@ STAR: dict[str, TableDef] = {t.name: t for t in [
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, mode: str = "overwrite",
-                  sort_within: Sequence[str] | None = None, files: int | None = None) -> None:
+                  sort_within: Sequence[str] | None = None, files: int | None = None,
+                  rebalance: bool = False, late: Mapping[str, Column] | None = None) -> None:
     """S9/S10. Parquet writer.  With ``partition_by`` the rows are rebalanced
     on the partition columns first: AQE splits a hot partition value over
     several tasks (a month holding a third of all rows does not land in one
     task) and merges small ones, which bounds both file size and file count.
-    ``files`` fixes the number of writing tasks (and so of files per value)."""
+    ``files`` fixes the number of writing tasks (and so of files per value); ``rebalance`` leaves
+    it to AQE where there are no partitions.
+    ``late`` columns follow from others: they are neither shuffled nor sorted, but computed after that."""
+    names = df.columns
+    if late:
+        df = df.drop(*late)
     if files:
         df = df.repartition(files, *(partition_by or ()))
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
+    elif rebalance:
+        df = df.hint("rebalance")
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
+    if late:
+        df = df.withColumns(dict(late)).select(*names)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -146,10 +156,11 @@ def save_star_tables(spark: SparkSession, tables: Mapping[str, DataFrame], datab
         w.saveAsTable(f"{database}.{name}")
 
 
-def write_star(tables: Mapping[str, DataFrame], root: str, dimension_files: int | None = None) -> None:
+def write_star(tables: Mapping[str, DataFrame], root: str, dimension_files: int | None = None,
+               late: Mapping[str, Mapping[str, Column]] | None = None) -> None:
     """B12 writer: each table under ``root/<name>``; the fact partitioned by
     checkout year and month, sorted by time inside files (min/max skipping
-    on time filters)."""
+    on time filters).  ``late``: by table, the columns that follow from its others (see ``write_parquet``)."""
     import os
 
     for name, df in tables.items():
@@ -161,7 +172,8 @@ def write_star(tables: Mapping[str, DataFrame], root: str, dimension_files: int
                     .withColumn("month", F.month("checkout_datetime")))
             # (year, month) first: satisfies the writer's required ordering, so it adds no
             # second sort, and rows inside each file stay in time order
-            write_parquet(df, path, partition_by=["year", "month"], sort_within=["year", "month", "checkout_datetime"])
+            write_parquet(df, path, partition_by=["year", "month"], sort_within=["year", "month", "checkout_datetime"],
+                          late=(late or {}).get(name))
         else:
             # dimensions are rebalanced: AQE writes as few files as their size needs
-            write_parquet(df if dimension_files else df.hint("rebalance"), path, files=dimension_files)
+            write_parquet(df, path, files=dimension_files, rebalance=not dimension_files, late=(late or {}).get(name))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import quality
-from shelfmark.plans.star import StarOptions, build_star, warehouse_tables
+from shelfmark.plans.star import StarOptions, build_star, build_star_from_books, late_columns, warehouse_tables
+from shelfmark.sources.sinks import write_parquet
 
 DICT = [("acbk", "ItemType", "Print", "Book"), ("acdvd", "ItemType", "Media", "Video"),
         ("acbk", "ItemCollection", "Print", "Book"), ("jcbk", "ItemType", "Print", "Book")]
@@ -138,3 +139,43 @@ def test_books_per_publisher_counts_books_never_borrowed(spark, star):
     from shelfmark.plans.analytics import books_per_publisher
     out = {r.publisher: r.n_books for r in books_per_publisher(star["_publisher_lookup"], star["_dim_publisher_keyed"]).collect()}
     assert sum(out.values()) == 3 and 2 in out.values()
+
+
+def test_checkouts_are_not_shuffled_to_meet_a_day(spark):
+    """The daily rows are small, whatever they were averaged from."""
+    books = spark.createDataFrame([("1", "9", "Title / x.", "Ann", "2001.", "Ace", "Cats", None, None, None, None, None, None)],
+                                  "bib_num string, isbns string, raw_title string, raw_author string, raw_publication_year string, "
+                                  "raw_publisher string, raw_subjects string, gr_title string, gr_authors string, "
+                                  "gr_publication_date timestamp, gr_average_rating float, gr_ratings_count int, gr_text_reviews_count int")
+    checkouts = spark.range(200_000).select(F.lit("1").alias("bib_num"), F.col("id").cast("string").alias("item_barcode"),
+                                            F.expr("timestamp_ntz'2017-01-01 10:00:00' + make_dt_interval(0, 0, 0, id % 60)")
+                                            .alias("checkout_datetime"))
+    weather = spark.range(200_000).groupBy((F.col("id") % 28 + 1).cast("int").alias("day")).agg(F.avg("id").alias("temperature"))
+    weather = weather.select((F.col("day") * 0 + 2017).alias("year"), (F.col("day") * 0 + 1).alias("month"), "day", "temperature")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000000")
+    try:
+        fact = build_star_from_books(books, checkouts, weather)["fact_spl_book_checkout"]
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [year(" in plan and "SortMergeJoin [year(" not in plan
+        row = fact.agg(F.count("id"), F.max("temperature"), F.min("publisher_id")).first()
+        assert row[0] == 200_000 and row[1] == sum(range(0, 200_000, 28)) / len(range(0, 200_000, 28)) and row[2] == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_late_columns_are_computed_after_the_rows_are_moved(spark, tmp):
+    df = spark.range(100).select((F.col("id") % 3).alias("month"), "id", F.expr("raise_error('moved')").cast("string").alias("row"))
+    late = {"row": F.md5(F.col("id").cast("string"))}
+    write_parquet(df, tmp + "/months", partition_by=["month"], sort_within=["month", "id"], late=late)
+    write_parquet(df, tmp + "/whole", rebalance=True, late=late)
+    for path in ("months", "whole"):
+        out = spark.read.parquet(f"{tmp}/{path}")
+        assert out.count() == out.where(F.col("row") == late["row"]).count() == 100
+    assert spark.read.parquet(f"{tmp}/whole").columns == ["month", "id", "row"]
+
+
+def test_late_columns_are_those_of_the_builders(spark, star):
+    for name, late in late_columns().items():
+        same = star[name].where(F.lit(True) if not late else ~F.greatest(*[~F.col(c).eqNullSafe(e) for c, e in late.items()], F.lit(False)))
+        assert same.count() == star[name].count() > 0
