@@ -82,7 +82,7 @@ def given_ids_sql(clean_publisher: str) -> str:
 
 # ---- whole load --------------------------------------------------------------
 
-def warehouse_report(spark: SparkSession, d: str, buckets: int = 8) -> DataFrame:
+def warehouse_report(spark: SparkSession, d: str, buckets: int | None = None) -> DataFrame:
     """Load the eight tables as one version, attach them as tables and read back of each: rows, distinct primary keys
     (null without one), rows without a parent, and of the fact the rows that meet the time dimension bucket by bucket."""
     root = scratch_path(spark, "warehouse")

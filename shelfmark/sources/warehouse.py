@@ -32,6 +32,9 @@ from shelfmark.session import remove_path
 from shelfmark.sources.sinks import STAR, conform_schema, save_star_tables, write_parquet
 
 FACT = "fact_spl_book_checkout"
+#: A bucket is written and sorted by one task, so their number follows the rows of the fact.
+BUCKET_ROWS = 1_000_000
+LEAST_BUCKETS = 8
 #: Tables that later loads need besides the eight: the keys that ids were given to.
 HELPERS = {"_dim_author_keyed": "id bigint, name string, key string",
            "_dim_publisher_keyed": "id bigint, name string, key string",
@@ -122,6 +125,11 @@ def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 # ---- writing -----------------------------------------------------------------
 
+def bucket_count(fact: DataFrame) -> int:
+    """As many buckets as keep each of them near ``BUCKET_ROWS`` rows."""
+    return max(LEAST_BUCKETS, -(-fact.count() // BUCKET_ROWS))
+
+
 def _staged(spark: SparkSession, root: str, load: str, tables: Mapping[str, DataFrame], buckets: int) -> dict[str, Part]:
     """Write the tables as parts of ``load``, shaped as declared."""
     location = os.path.join(root, "parts", "{}", f"load={load}")
@@ -150,16 +158,17 @@ def _staged(spark: SparkSession, root: str, load: str, tables: Mapping[str, Data
     return out
 
 
-def load_star(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], buckets: int = 8,
+def load_star(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], buckets: int | None = None,
               year_range: tuple[int, int] = CHECKOUT_YEARS, batches: dict[str, int] | None = None) -> Version:
-    """A whole load: all eight tables or none.  Raises FailedLoad with the failed checks."""
+    """A whole load: all eight tables or none.  Raises FailedLoad with the failed checks.
+    Without a number of ``buckets`` the fact is counted (quick where it is stored)."""
     missing = set(STAR) - set(tables)
     if missing:
         raise FailedLoad(f"tables missing: {sorted(missing)}")
     load = f"whole-{uuid.uuid4().hex[:12]}"
     before = versions(spark, root)
     try:
-        parts = _staged(spark, root, load, tables, buckets)
+        parts = _staged(spark, root, load, tables, bucket_count(tables[FACT]) if buckets is None else buckets)
         new = Version((before or [0])[-1] + 1, {n: [p] for n, p in parts.items()}, batches or {})
         staged = {n: read_table(spark, root, n, new).select(*STAR[n].names) for n in STAR}
         raise_on_failure(quality_checks(staged, year_range))
@@ -183,7 +192,7 @@ def append(spark: SparkSession, root: str, stream: str, batch_id: int, new_rows:
     return True
 
 
-def rewrite(spark: SparkSession, root: str, buckets: int = 8, year_range: tuple[int, int] = CHECKOUT_YEARS) -> Version:
+def rewrite(spark: SparkSession, root: str, buckets: int | None = None, year_range: tuple[int, int] = CHECKOUT_YEARS) -> Version:
     """Turn all increments into one checked load; the streams go on where they were."""
     at = current(spark, root)
     tables = {n: read_table(spark, root, n, at) for n in [*STAR, *HELPERS]}

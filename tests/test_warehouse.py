@@ -86,3 +86,13 @@ def test_an_empty_warehouse_reads_as_empty_tables(spark, tmp):
     W.attach(spark, tmp, "nothing")
     assert spark.table(f"nothing.{W.FACT}").count() == 0
     spark.sql("DROP DATABASE nothing CASCADE")
+
+
+def test_buckets_follow_the_rows_of_the_fact(spark, star, tmp, monkeypatch):
+    n = star[W.FACT].count()
+    assert W.bucket_count(star[W.FACT]) == 8
+    monkeypatch.setattr(W, "BUCKET_ROWS", 400)
+    at = W.load_star(spark, tmp, star, year_range=YEARS)
+    assert at.parts[W.FACT][0].buckets == at.parts["dim_checkout_time"][0].buckets == -(-n // 400) > 8
+    rows = spark.read.parquet(at.parts[W.FACT][0].path).groupBy(F.input_file_name()).count().agg(F.max("count"), F.sum("count")).first()
+    assert rows[0] < 800 and rows[1] == n
