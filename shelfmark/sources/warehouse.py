@@ -21,10 +21,10 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.operators.quality import CHECKOUT_YEARS, quality_checks, raise_on_failure
@@ -130,8 +130,9 @@ def bucket_count(fact: DataFrame) -> int:
     return max(LEAST_BUCKETS, -(-fact.count() // BUCKET_ROWS))
 
 
-def _staged(spark: SparkSession, root: str, load: str, tables: Mapping[str, DataFrame], buckets: int) -> dict[str, Part]:
-    """Write the tables as parts of ``load``, shaped as declared."""
+def _staged(spark: SparkSession, root: str, load: str, tables: Mapping[str, DataFrame], buckets: int,
+            late: Mapping[str, Mapping[str, Column]] | None = None) -> dict[str, Part]:
+    """Write the tables as parts of ``load``, shaped as declared.  ``late``: see ``write_star``."""
     location = os.path.join(root, "parts", "{}", f"load={load}")
     out = {}
     if buckets:
@@ -151,10 +152,11 @@ def _staged(spark: SparkSession, root: str, load: str, tables: Mapping[str, Data
         elif name == FACT:
             df = conform_schema(df.select(*STAR[name].names), name, by_position=False)
             write_parquet(df.withColumns({"year": F.year("checkout_datetime"), "month": F.month("checkout_datetime")}), part.path,
-                          partition_by=["year", "month"], sort_within=["year", "month", "checkout_datetime"])
+                          partition_by=["year", "month"], sort_within=["year", "month", "checkout_datetime"], late=(late or {}).get(name))
         else:
-            df = conform_schema(df.select(*STAR[name].names), name, by_position=False).hint("rebalance")
-            write_parquet(df, part.path, sort_within=[STAR[name].sort_key] if STAR[name].sort_key else None)
+            df = conform_schema(df.select(*STAR[name].names), name, by_position=False)
+            write_parquet(df, part.path, sort_within=[STAR[name].sort_key] if STAR[name].sort_key else None, rebalance=True,
+                          late=(late or {}).get(name))
     return out
 
 
@@ -180,13 +182,20 @@ def load_star(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], b
     return new
 
 
-def append(spark: SparkSession, root: str, stream: str, batch_id: int, new_rows: Mapping[str, DataFrame]) -> bool:
+def append(spark: SparkSession, root: str, stream: str, batch_id: int, new_rows: Mapping[str, DataFrame],
+           derived: Mapping[str, Callable[[Callable[[str], DataFrame]], DataFrame]] | None = None,
+           late: Mapping[str, Mapping[str, Column]] | None = None) -> bool:
     """Add the rows of one batch of ``stream`` to all their tables at once.  A batch that was
-    published before is left alone; one that was only staged is staged anew."""
+    published before is left alone; one that was only staged is staged anew.  ``derived`` tables are
+    made from staged ones (a function from a table's name to its new rows), so these are computed once."""
     before = current(spark, root)
     if before.batches.get(stream, -1) >= batch_id:
         return False
-    parts = _staged(spark, root, f"{stream}-{batch_id:08d}", new_rows, 0)
+    load = f"{stream}-{batch_id:08d}"
+    parts = _staged(spark, root, load, new_rows, 0, late)
+    staged = Version(parts={n: [p] for n, p in parts.items()})
+    parts |= _staged(spark, root, load, {n: make(lambda name: read_table(spark, root, name, staged))
+                                         for n, make in (derived or {}).items()}, 0, late)
     after = {n: [*before.parts.get(n, []), *([parts[n]] if n in parts else [])] for n in {*before.parts, *parts}}
     publish(spark, root, Version(before.number + 1, after, {**before.batches, stream: batch_id}))
     return True

@@ -1,13 +1,15 @@
 """Incremental loads: book and checkout streams over growing, repeated and interrupted deliveries."""
 
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from shelfmark.plans.star import fact_id
 from shelfmark.sources import warehouse as W
-from shelfmark.streaming.incremental import Sides, add_checkouts, start_book_stream, start_checkout_stream
+from shelfmark.streaming.incremental import Sides, _new_checkouts, add_checkouts, start_book_stream, start_checkout_stream
 
 CHECKOUTS = "BibNumber,ItemBarcode,ItemType,Collection,CallNumber,CheckoutDateTime\n"
 BOOKS = ("BibNum,Title,Author,ISBN,PublicationYear,Publisher,Subjects,ItemType,ItemCollection,FloatingItem,ItemLocation,"
@@ -185,3 +187,34 @@ def test_increments_become_one_load(library):
     library.checkouts("c3.csv", [checkout("2", "2", "01/03/2017 01:00:00 PM"), checkout("2", "5", "01/04/2017 01:00:00 PM")])
     library.load()
     assert len(library.rows(W.FACT)) == 3
+
+
+def test_new_checkouts_are_moved_once_and_without_their_ids(spark):
+    rows = "bib_num string, item_barcode string, checkout_datetime timestamp_ntz"
+    at = datetime(2017, 1, 1, 13)
+    batch = spark.createDataFrame([("1", "a", at), ("1", "a", at), ("2", "b", at), ("2", "b", None), (None, "2=b", None), ("3", "c", at)], rows)
+    known = spark.createDataFrame([("3", "c", at)], rows).withColumn("id", fact_id())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = _new_checkouts(batch, known)
+        moved = [line for line in new._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line]
+        assert len(moved) == 2  # one of the batch, one of the known ids
+        assert sorted(map(tuple, new.collect()), key=str) == sorted([("1", "a", at), ("2", "b", at), (None, "2=b", None)], key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_checkout_stays_one_row_with_the_smallest_of_several_sides(spark, tmp):
+    library = Library(spark, tmp)
+    library.sides = Sides(library.sides.dictionary, spark.createDataFrame([(1, 1, 2017, t) for t in (40.0, 30.0, 50.0)],
+                          "month int, day int, year int, temperature double"), library.sides.external)
+    W.append(spark, library.root, "books", 0, {
+        "_dim_publisher_keyed": spark.createDataFrame([(0, "A", "a"), (1, "B", "b")], "id bigint, name string, key string"),
+        "_publisher_lookup": spark.createDataFrame([("1", "B", "b"), ("1", "A", "a"), ("2", "A", "a"), ("2", None, None)],
+                                                   "bib_num string, publisher string, key string")})
+    batch = spark.createDataFrame([("1", "a", datetime(2017, 1, 1, 13)), ("2", "b", datetime(2017, 1, 1, 13))],
+                                  "bib_num string, item_barcode string, checkout_datetime timestamp_ntz")
+    assert add_checkouts(spark, library.root, batch, 0, library.sides)
+    assert {(r["bib_num"], r["temperature"], r["publisher_id"]) for r in library.rows(W.FACT)} == {("1", 30.0, 0), ("2", 30.0, None)}
+    assert len(library.rows(W.FACT)) == 2 and len(library.rows("dim_checkout_time")) == 1
